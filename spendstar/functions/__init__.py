@@ -8,6 +8,7 @@ from spendstar.functions.exprs import (  # noqa: F401
     date_key,
     money_to_double,
     r2,
+    round_half_away,
     safe_ratio,
     to_date_strict,
     to_double_strict,

@@ -39,13 +39,24 @@ def canonical_name(c: Column | str) -> Column:
     return F.initcap(trim_zs(_col(c)))
 
 
+def round_half_away(y: Column) -> Column:
+    """Round a double to an integral double, half away from zero, on its exact value.
+
+    ``rint`` rounds half to even; only an exact ``.5`` differs, and there
+    ``y +/- 0.5`` is exact. Plain double arithmetic, no decimal conversion per row.
+    NaN and infinity pass through unchanged.
+    """
+    r = F.rint(y)
+    return F.when(F.abs(y - r) == F.lit(0.5), y + F.signum(y) * F.lit(0.5)).otherwise(r)
+
+
 def r2(x: Column) -> Column:
     """Round a double to cents, half away from zero, on the exact product ``x*100``.
 
     ``round(x, 2)`` rounds the decimal text of ``x`` instead and disagrees on
-    half-cent products; rounding ``x*100`` to an integer first does not.
+    half-cent products; rounding the double ``x*100`` to an integer does not.
     """
-    return F.round(x * F.lit(100.0), 0) / F.lit(100.0)
+    return round_half_away(x * F.lit(100.0)) / F.lit(100.0)
 
 
 def to_double_strict(c: Column | str) -> Column:
@@ -59,7 +70,7 @@ def to_int_strict(c: Column | str) -> Column:
     Parsed as double, rounded half away from zero, then an ANSI cast that raises
     on overflow, NaN and infinity.
     """
-    return F.round(to_double_strict(c), 0).cast("int")
+    return round_half_away(to_double_strict(c)).cast("int")
 
 
 def to_date_strict(c: Column | str) -> Column:

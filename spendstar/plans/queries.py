@@ -21,7 +21,7 @@ from spendstar.operators import reconcile as R
 from spendstar.operators.fact import build_fact_join_first
 from spendstar.operators.gold import Gold, build_gold
 from spendstar.operators.silver import build_silver, typed_events, valid_events
-from spendstar.schemas import FACT_SCHEMA
+from spendstar.schemas import FACT_SCHEMA, SILVER_SCHEMA
 from spendstar.session import apply_runtime_conf, scratch_path
 from spendstar.sources import extract as X
 from spendstar.sources.landing import land, write_raw_csv
@@ -48,19 +48,33 @@ def boundary(df: DataFrame) -> DataFrame:
 
 
 class Build:
-    """Lazy layers of one query over one scale-factor folder."""
+    """Layers of one query over one scale-factor folder.
+
+    ``silver`` is lazy. Anything that needs gold first writes silver once to the
+    shared folder and reads it back (as the pipeline does): the dimensions and the
+    fact then scan only the columns they need instead of re-deriving silver.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         apply_runtime_conf(spark)
         self.spark = spark
         self.raw = raw_events(spark, sf_dir)
         self.silver = build_silver(self.raw)
+        self._silver_table: DataFrame | None = None
         self._gold: Gold | None = None
 
+    @property
+    def silver_table(self) -> DataFrame:
+        if self._silver_table is None:
+            uri = scratch_path(self.spark, "silver")
+            self.silver.write.mode("overwrite").parquet(uri)
+            self._silver_table = self.spark.read.schema(SILVER_SCHEMA).parquet(uri)
+        return self._silver_table
+
     @property
     def gold(self) -> Gold:
         if self._gold is None:
-            self._gold = build_gold(self.silver)
+            self._gold = build_gold(self.silver_table)
         return self._gold
 
     def totals(self) -> DataFrame:
@@ -211,13 +225,13 @@ def q_marts_extract_channels(spark, sf_dir):
 def q_quality_checks(spark, sf_dir):
     b = Build(spark, sf_dir)
     g = b.gold
-    return Q.run_checks(b.silver, g.fact, g.dim_date, g.dim_channel.df, g.dim_campaign.df)
+    return Q.run_checks(b.silver_table, g.fact, g.dim_date, g.dim_channel.df, g.dim_campaign.df)
 
 
 def q_quality_checks_violations(spark, sf_dir):
     b = Build(spark, sf_dir)
     g = b.gold
-    return Q.run_checks(b.silver, _fact_with_orphan(b), g.dim_date, g.dim_channel.df, g.dim_campaign.df)
+    return Q.run_checks(b.silver_table, _fact_with_orphan(b), g.dim_date, g.dim_channel.df, g.dim_campaign.df)
 
 
 def q_orphan_facts(spark, sf_dir):
@@ -237,7 +251,7 @@ def q_silver_duplicate_groups(spark, sf_dir):
 
 def q_spend_reconciliation(spark, sf_dir):
     b = Build(spark, sf_dir)
-    return boundary(R.spend_reconciliation(b.silver, b.gold.fact))
+    return boundary(R.spend_reconciliation(b.silver_table, b.gold.fact))
 
 
 def q_mart_reconciliation(spark, sf_dir):
@@ -248,13 +262,13 @@ def q_mart_reconciliation(spark, sf_dir):
 def q_fact_parity_diff(spark, sf_dir):
     b = Build(spark, sf_dir)
     g = b.gold
-    other = build_fact_join_first(b.silver, g.dim_channel.df, g.dim_campaign.df)
+    other = build_fact_join_first(b.silver_table, g.dim_channel.df, g.dim_campaign.df)
     return R.set_diff_summary(R.in_cents(g.fact), R.in_cents(other), "primary", "join_first")
 
 
 def q_layer_row_counts(spark, sf_dir):
     b = Build(spark, sf_dir)
-    tables = [("bronze", "campaign_events_raw", b.raw), ("silver", "campaign_events", b.silver)]
+    tables = [("bronze", "campaign_events_raw", b.raw), ("silver", "campaign_events", b.silver_table)]
     tables += [("gold", name, df) for name, df in b.gold.tables().items()]
     parts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(

@@ -20,6 +20,13 @@ REQUIRED_CONF = {
 }
 
 
+# HotSpot does not JIT-compile methods over 8000 bytecodes; a fused stage of the
+# silver typing can exceed that and then runs interpreted (several times slower).
+# JVM options only take effect when the JVM starts: set them at submit time on a
+# cluster (spark.executor.extraJavaOptions); build_session sets them for local runs.
+JIT_JAVA_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(
     master: str | None = None, app_name: str = "spendstar", extra: dict | None = None
 ) -> SparkSession:
@@ -27,7 +34,12 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED_CONF, "spark.ui.enabled": "false", **(extra or {})}.items():
+    launch = {
+        "spark.ui.enabled": "false",
+        "spark.driver.extraJavaOptions": JIT_JAVA_OPTIONS,
+        "spark.executor.extraJavaOptions": JIT_JAVA_OPTIONS,
+    }
+    for key, value in {**REQUIRED_CONF, **launch, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_runtime_conf(spark)

@@ -28,7 +28,24 @@ LINEITEM_COLUMNS = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_scan_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def ensure_scan_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the session has cores.
+
+    A big input arrives as many splits and is left alone (no shuffle). A file
+    with one row group is one split, and everything fused above the scan would
+    run in one task; a round-robin repartition spreads it evenly whatever the
+    key distribution. It hashes all columns together: deterministic on retry
+    without the local sort a round-robin split needs, and only a flood of exactly
+    identical rows could land in one partition.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *df.columns)
 
 
 def raw_events_from_lineitem(lineitem: DataFrame) -> DataFrame:
