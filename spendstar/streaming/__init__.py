@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source system is a batch ELT: no stream, watermark, window or state exists
+in it, so nothing here is built. Incremental loads run as new batch runs of
+``plans.pipeline.run`` over newly landed files.
+"""
