@@ -157,15 +157,23 @@ def format_report(rows) -> str:
     return "\n".join(out)
 
 
+# The extract is a dashboard document; its arrays hold one entry per channel and
+# per month and are built in one row, so their size is checked before building.
+MAX_DOCUMENT_ENTRIES = 100_000
+
+
 def export(
     spark: SparkSession, warehouse_uri: str, out_uri: str, generated_at: str, seed: int
 ) -> dict:
     """Write the extract of the published run to ``out_uri``; return it as a dict."""
     g = published_gold(spark, warehouse_uri)
     fact, dim_channel, dim_date = g["fact_campaign_performance"], g["dim_channel"], g["dim_date"]
-    doc = marts_document(
-        mart_totals(fact), mart_channels(fact, dim_channel), mart_monthly(fact, dim_date), generated_at, seed
-    )
+    channels, monthly = mart_channels(fact, dim_channel), mart_monthly(fact, dim_date)
+    # the document is one row: check how many entries it would carry first
+    sizes = _counts({"channels": channels, "monthly": monthly})
+    if max(sizes.values()) > MAX_DOCUMENT_ENTRIES:
+        raise ValueError(f"extract would hold {sizes} entries; limit is {MAX_DOCUMENT_ENTRIES}")
+    doc = marts_document(mart_totals(fact), channels, monthly, generated_at, seed)
     write_extract(spark, doc, out_uri)
     # the returned value is the file as written
     return json.loads(spark.read.text(out_uri, wholetext=True).first()["value"])
