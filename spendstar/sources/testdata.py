@@ -53,9 +53,12 @@ def ensure_scan_parallelism(df: DataFrame, min_partitions: int | None = None) ->
     without the local sort a round-robin split needs, and only a flood of exactly
     identical rows could land in one partition.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if scan_splits(df) >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = scan_splits(df)
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+        return df
+    if splits >= want:
         return df
     return df.repartition(want, *df.columns)
 
