@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from spendstar.operators.dimensions import build_dim_campaign, build_dim_channel, build_dim_date
 from spendstar.operators.fact import build_fact
-from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed
+from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed, distinct_counts
 from spendstar.refdata import CHANNEL_GROUPS
 
 GOLD_TABLES = ("dim_date", "dim_channel", "dim_campaign", "fact_campaign_performance")
@@ -36,9 +36,14 @@ def build_gold(
     groups: Mapping[str, str] = CHANNEL_GROUPS,
     single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
 ) -> Gold:
-    """Dimensions first (their keys feed the fact), then the fact."""
-    dim_channel = build_dim_channel(silver, groups, single_task_limit)
-    dim_campaign = build_dim_campaign(silver, single_task_limit)
+    """Dimensions first (their keys feed the fact), then the fact.
+
+    Both dimensions' sizes come from one counting job; they decide the key path
+    and whether a dimension may be broadcast.
+    """
+    n = distinct_counts(silver, "channel", "campaign_id")
+    dim_channel = build_dim_channel(silver, groups, single_task_limit, n["channel"])
+    dim_campaign = build_dim_campaign(silver, single_task_limit, n["campaign_id"])
     return Gold(
         dim_date=build_dim_date(silver),
         dim_channel=dim_channel,

@@ -6,8 +6,9 @@ task. That is right for a few thousand keys and wrong for hundreds of millions.
 
 * at most ``single_task_limit`` keys: the global window (one small task);
 * more: a range-partitioned sort. Rows get their partition id and in-partition
-  position, the result is checkpointed to the shared folder (range bounds are
-  sampled, so an unpinned recomputation could move rows between partitions),
+  position, the result is written to the shared folder and read back (range
+  bounds are sampled, so an unpinned recomputation could move rows between
+  partitions; the stored ids no longer depend on how the copy is split),
   per-partition counts (one row per partition) give each partition its offset,
   and key = offset + position. No step holds more than one partition.
 
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendstar.session import ensure_checkpoint_dir
+from spendstar.session import scratch_path
 
 DEFAULT_SINGLE_TASK_LIMIT = 1_000_000
 ROWS_PER_RANGE_PARTITION = 2_000_000
@@ -29,6 +30,16 @@ ROWS_PER_RANGE_PARTITION = 2_000_000
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
+def distinct_counts(df: DataFrame, *cols: str) -> dict[str, int]:
+    """Exact number of distinct values (NULL counted as one) of several columns, one job."""
+    aggs = []
+    for c in cols:
+        has_null = F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
+        aggs.append((F.count_distinct(F.col(c)) + F.coalesce(has_null, F.lit(0))).alias(c))
+    row = df.agg(*aggs).first()
+    return {c: int(row[c]) for c in cols}
+
+
 @dataclass(frozen=True)
 class Keyed:
     """A keyed dimension and its exact row count (known before any broadcast)."""
@@ -47,25 +58,32 @@ def assign_dense_keys(
     order_col: str,
     key_col: str,
     single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
+    rows: int | None = None,
 ) -> Keyed:
-    """Add ``key_col`` (bigint) to rows that are unique on ``order_col``."""
+    """Add ``key_col`` (bigint) to rows that are unique on ``order_col``.
+
+    ``rows`` is the number of rows when the caller already counted them.
+    """
     order = F.col(order_col).asc_nulls_last()
-    n = distinct_rows.count()
+    n = distinct_rows.count() if rows is None else rows
     if n <= single_task_limit:
         keyed = distinct_rows.select(
             F.row_number().over(Window.orderBy(order)).cast("long").alias(key_col), "*"
         )
         return Keyed(keyed, n)
 
-    ensure_checkpoint_dir(distinct_rows.sparkSession)
+    spark = distinct_rows.sparkSession
     parts = max(2, -(-n // ROWS_PER_RANGE_PARTITION))
-    pinned = (
+    ranged = (
         distinct_rows.repartitionByRange(parts, order)
         .sortWithinPartitions(order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    # pin the sampled range split: written once to the shared folder, read back
+    uri = scratch_path(spark, "dense-keys")
+    ranged.write.mode("overwrite").parquet(uri)
+    pinned = spark.read.parquet(uri)
     # one row per non-empty partition: its first position and its row count
     counts = (
         pinned.groupBy("_pid")
@@ -76,7 +94,6 @@ def assign_dense_keys(
     for row in sorted(counts, key=lambda r: r["_pid"]):
         offsets.append((row["_pid"], row["_first"], running))
         running += row["_n"]
-    spark = distinct_rows.sparkSession
     offs = spark.createDataFrame(offsets, "_pid int, _first long, _offset long")
     keyed = pinned.join(F.broadcast(offs), "_pid").select(
         (F.col("_offset") + (F.col("_pos") - F.col("_first")) + 1).alias(key_col),

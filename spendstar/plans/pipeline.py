@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from spendstar.operators.dimensions import build_dim_campaign, build_dim_channel, build_dim_date
 from spendstar.operators.fact import build_fact
-from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed
+from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed, distinct_counts
 from spendstar.operators.marts import (
     mart_channels,
     mart_monthly,
@@ -102,8 +102,9 @@ def run(
 
     # dimensions first; the fact joins the written keys
     dim_date = wh.write(build_dim_date(silver), run_id, "gold", "dim_date")
-    ch = build_dim_channel(silver, groups, single_task_limit)
-    cp = build_dim_campaign(silver, single_task_limit)
+    n = distinct_counts(silver, "channel", "campaign_id")
+    ch = build_dim_channel(silver, groups, single_task_limit, n["channel"])
+    cp = build_dim_campaign(silver, single_task_limit, n["campaign_id"])
     dim_channel = Keyed(wh.write(ch.df, run_id, "gold", "dim_channel"), ch.rows)
     dim_campaign = Keyed(wh.write(cp.df, run_id, "gold", "dim_campaign"), cp.rows)
     fact = wh.write(build_fact(silver, dim_channel, dim_campaign), run_id, "gold", "fact_campaign_performance")
