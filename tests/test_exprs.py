@@ -95,7 +95,8 @@ def test_cross_currency_twins_collapse(spark):
 
 def test_lenient_text(spark):
     rows = [row(impressions="12.5", clicks="-2.5", conversions="1e5", event_date="2026/01/05"),
-            row(event_date="2026-1-5"), row(event_date="2026-01-05 10:00:00")]
+            row(event_date="2026-1-5"), row(event_date="2026-01-05 10:00:00"),
+            row(event_date="\u3000 2026-01-05T10:00 ")]
     t = typed_events(raw_df(spark, rows)).collect()
     assert (t[0].impressions, t[0].clicks, t[0].conversions) == (13, -3, 100000)
     assert {str(x.event_date) for x in t} == {"2026-01-05"}
@@ -104,7 +105,8 @@ def test_lenient_text(spark):
 @pytest.mark.parametrize(
     "bad",
     [dict(impressions="abc"), dict(event_date="2026-01"), dict(event_date="2026"),
-     dict(spend="NaN"), dict(spend="1234567890123")],
+     dict(spend="NaN"), dict(spend="1234567890123"), dict(event_date="2026-13-01"),
+     dict(event_date="2026-01-05x"), dict(spend="inf")],
 )
 def test_bad_text_fails_the_run(spark, bad):
     with pytest.raises(Exception):
