@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendstar.functions.exprs import trim_zs
+from spendstar.functions.exprs import round_half_away, trim_zs
 
 
 def _count(df: DataFrame):
@@ -68,7 +68,9 @@ def spend_reconciliation(silver: DataFrame, fact: DataFrame) -> DataFrame:
 
 def mart_reconciliation(totals: DataFrame, channels: DataFrame, monthly: DataFrame) -> DataFrame:
     """Channel spends and monthly spends must each add up to the total, to the cent."""
-    cents = lambda c: F.round(F.col(c) * F.lit(100.0), 0).cast("long")
+    def cents(c: str):
+        return round_half_away(F.col(c) * F.lit(100.0)).cast("long")
+
     total = totals.agg(F.sum(cents("spend_dkk"))).scalar()
     by_channel = channels.agg(F.sum(cents("spend_dkk"))).scalar()
     by_month = monthly.agg(F.sum(cents("spend_dkk"))).scalar()

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendstar.functions.exprs import canonical_name, r2, to_double_strict, trim_zs
 from spendstar.operators import marts as M
 from spendstar.operators import quality as Q
 from spendstar.operators import reconcile as R
 from spendstar.operators.fact import build_fact_join_first
 from spendstar.operators.gold import Gold, build_gold
-from spendstar.operators.silver import build_silver, typed_events, valid_events
+from spendstar.operators.silver import build_silver, fx_rate, typed_events, valid_events
 from spendstar.schemas import FACT_SCHEMA, SILVER_SCHEMA
 from spendstar.session import apply_runtime_conf, scratch_path
 from spendstar.sources import extract as X
@@ -88,9 +89,8 @@ class Build:
 
 
 def _orphan_fact(spark: SparkSession) -> DataFrame:
-    row = list(ORPHAN_FACT_ROW)
     df = spark.createDataFrame(
-        [tuple(row)],
+        [ORPHAN_FACT_ROW],
         "date_key int, channel_key long, campaign_key long, impressions long, clicks long, "
         "spend_dkk string, conversions long",
     )
@@ -122,17 +122,12 @@ def q_silver_typed(spark, sf_dir):
 
 
 def q_channel_canonical(spark, sf_dir):
-    from spendstar.functions.exprs import canonical_name
-
     raw = Build(spark, sf_dir).raw
     pairs = raw.select(F.col("channel").alias("raw_channel"), canonical_name("channel").alias("channel"))
     return pairs.groupBy("raw_channel", "channel").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def q_fx_normalise(spark, sf_dir):
-    from spendstar.functions.exprs import r2, to_double_strict, trim_zs
-    from spendstar.operators.silver import fx_rate
-
     raw = Build(spark, sf_dir).raw
     rate = fx_rate(F.col("currency"))
     out = raw.select(

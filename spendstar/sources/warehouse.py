@@ -1,7 +1,7 @@
 """Warehouse layout: one Parquet table per layer table, per run, then publish.
 
     <root>/runs/<run_id>/<layer>/<table>/   Parquet, written with overwrite
-    <root>/_published/<stamp>_<run_id>      empty marker, created after the gate
+    <root>/_published/<ns>_<run_id>         empty marker, created after the gate
 
 A run writes every layer into its own folder; the quality gate reads those
 tables; only a passed gate creates the marker. Readers open the newest marked
@@ -98,8 +98,8 @@ class Warehouse:
     # -- publish ----------------------------------------------------------------
     def publish(self, run_id: str) -> str:
         """Mark a run as published (call only after the quality gate passed)."""
-        stamp = time.strftime("%Y%m%dT%H%M%S", time.gmtime())
-        fs, path = _jvm_path(self.spark, f"{self.root}/_published/{stamp}_{run_id}")
+        # nanosecond stamps sort in publish order, whatever the run ids are
+        fs, path = _jvm_path(self.spark, f"{self.root}/_published/{time.time_ns():020d}_{run_id}")
         fs.mkdirs(path)
         return run_id
 

@@ -101,3 +101,16 @@ def test_ragged_csv_fails(spark, scratch):
         read_raw_csv(spark, path).collect()
     with pytest.raises(Exception):
         read_raw_csv(spark, path).select("channel").count()
+
+
+def test_range_keys_give_the_same_warehouse(spark, scratch):
+    src = G.write_events(spark, 600, 11, f"{scratch}/raw")
+    a = P.run(spark, src, f"{scratch}/wa", run_id="a")
+    b = P.run(spark, src, f"{scratch}/wb", run_id="b", single_task_limit=1)
+    assert a.gold == b.gold
+    fa = Warehouse(spark, f"{scratch}/wa").read("gold", "fact_campaign_performance")
+    fb = Warehouse(spark, f"{scratch}/wb").read("gold", "fact_campaign_performance")
+    assert fa.exceptAll(fb).count() == 0 and fb.exceptAll(fa).count() == 0
+    ka = Warehouse(spark, f"{scratch}/wa").read("gold", "dim_campaign")
+    kb = Warehouse(spark, f"{scratch}/wb").read("gold", "dim_campaign")
+    assert ka.exceptAll(kb).count() == 0
