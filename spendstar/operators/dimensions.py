@@ -16,6 +16,8 @@ from spendstar.schemas import DIM_CAMPAIGN_COLUMNS, DIM_CHANNEL_COLUMNS, DIM_DAT
 def build_dim_date(silver: DataFrame) -> DataFrame:
     """One row per distinct event date (NULL included) with its calendar parts.
 
+    ``silver`` may be silver itself or its grain aggregate (same dates).
+
     The distinct dates are found first, so the calendar expressions run once per
     day rather than once per event. Weekday 0 is Sunday, 6 Saturday.
     """

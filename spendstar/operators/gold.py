@@ -1,4 +1,13 @@
-"""The gold star schema built from silver."""
+"""The gold star schema.
+
+Every gold table is derived from the grain aggregate of silver (one row per
+event_date, channel, campaign_id with summed measures and the smallest campaign
+name): its dates, channels and campaign ids are exactly silver's, and the
+smallest name per campaign is the smallest of the per-grain smallest names. The
+grain is usually orders of magnitude smaller than silver, so materialising it
+once and deriving the dimensions and the fact from it replaces three scans of
+silver with one.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from spendstar.operators.dimensions import build_dim_campaign, build_dim_channel, build_dim_date
-from spendstar.operators.fact import build_fact
+from spendstar.operators.fact import aggregate_grain, build_fact
 from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed, distinct_counts
 from spendstar.refdata import CHANNEL_GROUPS
 
@@ -31,8 +40,8 @@ class Gold:
         }
 
 
-def build_gold(
-    silver: DataFrame,
+def build_gold_from_grain(
+    grain: DataFrame,
     groups: Mapping[str, str] = CHANNEL_GROUPS,
     single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
 ) -> Gold:
@@ -41,12 +50,21 @@ def build_gold(
     Both dimensions' sizes come from one counting job; they decide the key path
     and whether a dimension may be broadcast.
     """
-    n = distinct_counts(silver, "channel", "campaign_id")
-    dim_channel = build_dim_channel(silver, groups, single_task_limit, n["channel"])
-    dim_campaign = build_dim_campaign(silver, single_task_limit, n["campaign_id"])
+    n = distinct_counts(grain, "channel", "campaign_id")
+    dim_channel = build_dim_channel(grain, groups, single_task_limit, n["channel"])
+    dim_campaign = build_dim_campaign(grain, single_task_limit, n["campaign_id"])
     return Gold(
-        dim_date=build_dim_date(silver),
+        dim_date=build_dim_date(grain),
         dim_channel=dim_channel,
         dim_campaign=dim_campaign,
-        fact=build_fact(silver, dim_channel, dim_campaign),
+        fact=build_fact(grain, dim_channel, dim_campaign),
     )
+
+
+def build_gold(
+    silver: DataFrame,
+    groups: Mapping[str, str] = CHANNEL_GROUPS,
+    single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
+) -> Gold:
+    """The star schema straight from silver (grain not materialised)."""
+    return build_gold_from_grain(aggregate_grain(silver), groups, single_task_limit)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendstar.operators.dimensions import build_dim_campaign, build_dim_channel, build_dim_date
-from spendstar.operators.fact import build_fact
+from spendstar.operators.fact import aggregate_grain, build_fact
 from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed, distinct_counts
 from spendstar.operators.marts import (
     mart_channels,
@@ -100,14 +100,19 @@ def run(
         build_silver(bronze.select(*RAW_COLUMNS), rates), run_id, "silver", "campaign_events"
     )
 
+    # the grain aggregate (one scan of silver) feeds every gold table
+    grain_uri = f"{wh.root}/runs/{run_id}/_staging/grain"
+    aggregate_grain(silver).write.mode("overwrite").parquet(grain_uri)
+    grain = spark.read.parquet(grain_uri)
+
     # dimensions first; the fact joins the written keys
-    dim_date = wh.write(build_dim_date(silver), run_id, "gold", "dim_date")
-    n = distinct_counts(silver, "channel", "campaign_id")
-    ch = build_dim_channel(silver, groups, single_task_limit, n["channel"])
-    cp = build_dim_campaign(silver, single_task_limit, n["campaign_id"])
+    dim_date = wh.write(build_dim_date(grain), run_id, "gold", "dim_date")
+    n = distinct_counts(grain, "channel", "campaign_id")
+    ch = build_dim_channel(grain, groups, single_task_limit, n["channel"])
+    cp = build_dim_campaign(grain, single_task_limit, n["campaign_id"])
     dim_channel = Keyed(wh.write(ch.df, run_id, "gold", "dim_channel"), ch.rows)
     dim_campaign = Keyed(wh.write(cp.df, run_id, "gold", "dim_campaign"), cp.rows)
-    fact = wh.write(build_fact(silver, dim_channel, dim_campaign), run_id, "gold", "fact_campaign_performance")
+    fact = wh.write(build_fact(grain, dim_channel, dim_campaign), run_id, "gold", "fact_campaign_performance")
 
     checks = assert_quality(run_checks(silver, fact, dim_date, dim_channel.df, dim_campaign.df))
     counts = _counts(

@@ -19,8 +19,8 @@ from spendstar.functions.exprs import canonical_name, r2, to_double_strict, trim
 from spendstar.operators import marts as M
 from spendstar.operators import quality as Q
 from spendstar.operators import reconcile as R
-from spendstar.operators.fact import build_fact_join_first
-from spendstar.operators.gold import Gold, build_gold
+from spendstar.operators.fact import aggregate_grain, build_fact_join_first
+from spendstar.operators.gold import Gold, build_gold_from_grain
 from spendstar.operators.silver import build_silver, fx_rate, typed_events, valid_events
 from spendstar.schemas import FACT_SCHEMA, SILVER_SCHEMA
 from spendstar.session import apply_runtime_conf, scratch_path
@@ -51,9 +51,10 @@ def boundary(df: DataFrame) -> DataFrame:
 class Build:
     """Layers of one query over one scale-factor folder.
 
-    ``silver`` is lazy. Anything that needs gold first writes silver once to the
-    shared folder and reads it back (as the pipeline does): the dimensions and the
-    fact then scan only the columns they need instead of re-deriving silver.
+    ``silver`` is lazy. Anything that needs gold first writes the grain aggregate
+    of silver once to the shared folder and reads it back: the dimensions and the
+    fact derive from that small table instead of re-deriving silver. Checks that
+    compare silver with gold use silver written the same way.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -62,6 +63,7 @@ class Build:
         self.raw = raw_events(spark, sf_dir)
         self.silver = build_silver(self.raw)
         self._silver_table: DataFrame | None = None
+        self._grain_table: DataFrame | None = None
         self._gold: Gold | None = None
 
     @property
@@ -72,10 +74,18 @@ class Build:
             self._silver_table = self.spark.read.schema(SILVER_SCHEMA).parquet(uri)
         return self._silver_table
 
+    @property
+    def grain_table(self) -> DataFrame:
+        if self._grain_table is None:
+            uri = scratch_path(self.spark, "grain")
+            aggregate_grain(self.silver).write.mode("overwrite").parquet(uri)
+            self._grain_table = self.spark.read.parquet(uri)
+        return self._grain_table
+
     @property
     def gold(self) -> Gold:
         if self._gold is None:
-            self._gold = build_gold(self.silver_table)
+            self._gold = build_gold_from_grain(self.grain_table)
         return self._gold
 
     def totals(self) -> DataFrame:
