@@ -30,10 +30,19 @@ def test_no_forbidden_operators(spark, key):
 def test_fact_scan_is_pruned_and_dimensions_broadcast(spark):
     from spendstar.plans.queries import Build
 
-    fact = Build(spark, SF001).gold.fact
+    build = Build(spark, SF001)
+    fact = build.gold.fact
     full = fact._jdf.queryExecution().toString()
-    assert "ReadSchema: struct<event_date:date,channel:string,campaign_id:string,impressions:int" in full
-    assert "campaign_name" not in full.split("ReadSchema: struct<event_date")[1].split(">")[0]
+    # the grain table stores campaign_name 4th; the fact's scan skips it
+    assert "ReadSchema: struct<event_date:date,channel:string,campaign_id:string,impressions:bigint" in full
     plan = _plan(fact)
     assert plan.count("BroadcastHashJoin") == 2
     assert "partial_sum" in plan
+
+
+def test_raw_scan_reads_only_needed_columns(spark):
+    from spendstar.plans.queries import Build
+
+    full = Build(spark, SF001).silver._jdf.queryExecution().toString()
+    read = full.split("ReadSchema: struct<")[1].split(">")[0]
+    assert "l_discount" not in read and "l_comment" not in read and "l_returnflag" not in read
