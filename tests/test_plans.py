@@ -37,7 +37,11 @@ def test_fact_scan_is_pruned_and_dimensions_broadcast(spark):
     assert "ReadSchema: struct<event_date:date,channel:string,campaign_id:string,impressions:bigint" in full
     plan = _plan(fact)
     assert plan.count("BroadcastHashJoin") == 2
-    assert "partial_sum" in plan
+    assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]  # fact side: no shuffle
+    from spendstar.operators.fact import aggregate_grain
+
+    grain_plan = _plan(aggregate_grain(build.silver))
+    assert "partial_sum" in grain_plan and "partial_min" in grain_plan
 
 
 def test_raw_scan_reads_only_needed_columns(spark):
