@@ -28,6 +28,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     rp = sub.add_parser("report", help="Print the channel x month report.")
     rp.add_argument("--warehouse", required=True)
+    rp.add_argument("--out", default=None, help="Write the report as CSV here instead of printing it.")
 
     e = sub.add_parser("export", help="Write the marts extract (JSON).")
     e.add_argument("--warehouse", required=True)
@@ -59,9 +60,13 @@ def main(argv: list[str] | None = None) -> int:
             write_events(spark, args.rows, args.seed, source)
         print(run(spark, source, args.warehouse, landing_uri=args.landing).format())
     elif args.command == "report":
-        from spendstar.plans.pipeline import format_report, report
+        from spendstar.plans.pipeline import format_report, report, write_report_csv
 
-        print(format_report([tuple(r) for r in report(spark, args.warehouse).collect()]))
+        rep = report(spark, args.warehouse)
+        if args.out:
+            print(f"wrote report to {write_report_csv(rep, args.out)}")
+        else:
+            print(format_report([tuple(r) for r in rep.collect()]))
     elif args.command == "export":
         from spendstar.plans.pipeline import export
 

@@ -48,6 +48,19 @@ def boundary(df: DataFrame) -> DataFrame:
     )
 
 
+# Lazy plans only (no data): reusing them saves re-listing files and re-analysing
+# the same definitions for every query. Each query still computes its data.
+_PLANS: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def _lazy_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _PLANS:
+        raw = raw_events(spark, sf_dir)
+        _PLANS[key] = (raw, build_silver(raw))
+    return _PLANS[key]
+
+
 class Build:
     """Layers of one query over one scale-factor folder.
 
@@ -60,8 +73,7 @@ class Build:
     def __init__(self, spark: SparkSession, sf_dir: str):
         apply_runtime_conf(spark)
         self.spark = spark
-        self.raw = raw_events(spark, sf_dir)
-        self.silver = build_silver(self.raw)
+        self.raw, self.silver = _lazy_layers(spark, sf_dir)
         self._silver_table: DataFrame | None = None
         self._grain_table: DataFrame | None = None
         self._gold: Gold | None = None

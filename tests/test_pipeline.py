@@ -55,6 +55,9 @@ def test_report_and_export(spark, scratch):
     assert rows and rows == sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3]))
     text = P.format_report(rows)
     assert text.splitlines()[0].split()[0] == "group"
+    csv_uri = P.write_report_csv(P.report(spark, wh), f"{scratch}/report_csv")
+    back = spark.read.option("header", True).csv(csv_uri)
+    assert back.count() == len(rows) and back.columns[:2] == ["channel_group", "channel_name"]
     out = f"{scratch}/out/marts.json"
     doc = P.export(spark, wh, out, "2026-06-30T00:00:00Z", seed=31)
     assert json.loads(open(out).read()) == doc
