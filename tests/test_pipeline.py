@@ -117,3 +117,28 @@ def test_range_keys_give_the_same_warehouse(spark, scratch):
     ka = Warehouse(spark, f"{scratch}/wa").read("gold", "dim_campaign")
     kb = Warehouse(spark, f"{scratch}/wb").read("gold", "dim_campaign")
     assert ka.exceptAll(kb).count() == 0
+
+
+def test_generator_distributions(spark):
+    ev = G.generate_events(spark, 20_000, seed=5).select(
+        F.col("event_date").cast("date").alias("d"),
+        F.col("impressions").cast("long").alias("i"),
+        F.col("clicks").cast("long").alias("c"),
+        F.col("conversions").cast("long").alias("v"),
+        F.col("spend").cast("double").alias("s"),
+        "currency",
+        "channel",
+    )
+    r = ev.agg(
+        F.min("d"), F.max("d"), F.min("i"), F.max("i"),
+        F.max(F.col("c") / F.col("i")), F.min(F.col("c") / F.col("i")),
+        F.max(F.col("v") / F.greatest(F.col("c"), F.lit(1))),
+        F.max(F.col("s") / F.greatest(F.col("c"), F.lit(1))),
+    ).first()
+    assert str(r[0]) == "2026-01-01" and str(r[1]) == "2026-04-30"
+    assert 500 <= r[2] and r[3] <= 50_000
+    assert r[4] <= 0.06 and r[5] >= 0.005 - 1 / 500 and r[6] <= 0.12 and r[7] <= 9.0
+    cur = {x["currency"]: x["count"] for x in ev.groupBy("currency").count().collect()}
+    assert set(cur) == {"DKK", "EUR", "SEK"} and cur["DKK"] > 2 * cur["EUR"]
+    assert ev.filter(F.col("channel").startswith(" ")).count() > 0
+    assert ev.filter(F.col("channel") == F.upper("channel")).count() > 0
