@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 from spendstar.functions.exprs import round_half_away, trim_zs
 
 
-def _count(df: DataFrame):
-    return df.agg(F.count(F.lit(1))).scalar()
-
-
 def silver_canonical_violations(silver: DataFrame) -> DataFrame:
     """Rows with an untidy channel (padded or all upper case) or an invalid measure."""
     ch = F.col("channel")
@@ -103,12 +99,22 @@ def in_cents(fact: DataFrame) -> DataFrame:
 def set_diff_summary(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
     """Row counts of two builds and of the rows each has that the other lacks.
 
-    ``exceptAll`` keeps multiplicity, so a duplicated row counts.
+    Multiset semantics (as ``exceptAll``: a duplicated row counts), computed in
+    one pass: the two sides are unioned with a side marker and grouped by the
+    whole row, so each input is read once and shuffled once. NULLs compare equal.
     """
-    spark = left.sparkSession
-    return spark.range(1).select(
-        _count(left).alias(f"{left_name}_rows"),
-        _count(right).alias(f"{right_name}_rows"),
-        _count(left.exceptAll(right)).alias(f"only_{left_name}"),
-        _count(right.exceptAll(left)).alias(f"only_{right_name}"),
+    marked = left.select("*", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select("*", F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    per_row = marked.groupBy(*left.columns).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
+    zero = F.lit(0).cast("long")
+    return per_row.agg(
+        F.coalesce(F.sum("_nl"), zero).cast("long").alias(f"{left_name}_rows"),
+        F.coalesce(F.sum("_nr"), zero).cast("long").alias(f"{right_name}_rows"),
+        F.coalesce(F.sum(F.greatest(F.col("_nl") - F.col("_nr"), F.lit(0))), zero).cast("long").alias(
+            f"only_{left_name}"
+        ),
+        F.coalesce(F.sum(F.greatest(F.col("_nr") - F.col("_nl"), F.lit(0))), zero).cast("long").alias(
+            f"only_{right_name}"
+        ),
     )

@@ -53,3 +53,12 @@ def test_canonical_and_no_duplicates(build):
     v = R.silver_canonical_violations(build.silver_table).first()
     assert (v.untidy_channel_rows, v.invalid_measure_rows) == (0, 0)
     assert R.silver_duplicate_groups(build.silver_table).count() == 0
+
+
+def test_set_diff_summary_has_multiset_semantics(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, None)], "k string, v int")
+    right = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2), (None, None), ("c", 3)], "k string, v int")
+    r = R.set_diff_summary(left, right, "l", "r").first()
+    assert (r.l_rows, r.r_rows) == (4, 5)
+    assert r.only_l == left.exceptAll(right).count() == 1
+    assert r.only_r == right.exceptAll(left).count() == 2
