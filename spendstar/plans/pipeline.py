@@ -114,7 +114,9 @@ def run(
     dim_campaign = Keyed(wh.write(cp.df, run_id, "gold", "dim_campaign"), cp.rows)
     fact = wh.write(build_fact(grain, dim_channel, dim_campaign), run_id, "gold", "fact_campaign_performance")
 
-    checks = assert_quality(run_checks(silver, fact, dim_date, dim_channel.df, dim_campaign.df))
+    checks = assert_quality(
+        run_checks(silver, fact, dim_date, dim_channel.df, dim_campaign.df, dim_channel.rows, dim_campaign.rows)
+    )
     counts = _counts(
         {
             "bronze": bronze,
