@@ -245,20 +245,33 @@ def q_quality_checks(spark, sf_dir):
     b = Build(spark, sf_dir)
     b.silver_table  # noqa: B018 - materialise silver first; gold then derives from it
     g = b.gold
-    return Q.run_checks(b.silver_table, g.fact, g.dim_date, g.dim_channel.df, g.dim_campaign.df)
+    return Q.run_checks(
+        b.silver_table, g.fact, g.dim_date, g.dim_channel.df, g.dim_campaign.df, g.dim_channel.rows, g.dim_campaign.rows
+    )
 
 
 def q_quality_checks_violations(spark, sf_dir):
     b = Build(spark, sf_dir)
     b.silver_table  # noqa: B018
     g = b.gold
-    return Q.run_checks(b.silver_table, _fact_with_orphan(b), g.dim_date, g.dim_channel.df, g.dim_campaign.df)
+    return Q.run_checks(
+        b.silver_table,
+        _fact_with_orphan(b),
+        g.dim_date,
+        g.dim_channel.df,
+        g.dim_campaign.df,
+        g.dim_channel.rows,
+        g.dim_campaign.rows,
+    )
 
 
 def q_orphan_facts(spark, sf_dir):
     b = Build(spark, sf_dir)
     g = b.gold
-    return boundary(Q.fact_orphans(_fact_with_orphan(b), g.dim_date, g.dim_channel.df, g.dim_campaign.df))
+    orphans = Q.fact_orphans(
+        _fact_with_orphan(b), g.dim_date, g.dim_channel.df, g.dim_campaign.df, g.dim_channel.rows, g.dim_campaign.rows
+    )
+    return boundary(orphans)
 
 
 # -- reconciliation ---------------------------------------------------------------
