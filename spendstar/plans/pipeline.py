@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
@@ -105,13 +106,18 @@ def run(
     aggregate_grain(silver).write.mode("overwrite").parquet(grain_uri)
     grain = spark.read.parquet(grain_uri)
 
-    # dimensions first; the fact joins the written keys
-    dim_date = wh.write(build_dim_date(grain), run_id, "gold", "dim_date")
+    # dimensions first; the fact joins the written keys. The three dimension
+    # writes are independent jobs, submitted together so the scheduler overlaps them.
     n = distinct_counts(grain, "channel", "campaign_id")
     ch = build_dim_channel(grain, groups, single_task_limit, n["channel"])
     cp = build_dim_campaign(grain, single_task_limit, n["campaign_id"])
-    dim_channel = Keyed(wh.write(ch.df, run_id, "gold", "dim_channel"), ch.rows)
-    dim_campaign = Keyed(wh.write(cp.df, run_id, "gold", "dim_campaign"), cp.rows)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_date = pool.submit(wh.write, build_dim_date(grain), run_id, "gold", "dim_date")
+        f_ch = pool.submit(wh.write, ch.df, run_id, "gold", "dim_channel")
+        f_cp = pool.submit(wh.write, cp.df, run_id, "gold", "dim_campaign")
+        dim_date = f_date.result()
+        dim_channel = Keyed(f_ch.result(), ch.rows)
+        dim_campaign = Keyed(f_cp.result(), cp.rows)
     fact = wh.write(build_fact(grain, dim_channel, dim_campaign), run_id, "gold", "fact_campaign_performance")
 
     checks = assert_quality(

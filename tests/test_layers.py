@@ -62,3 +62,24 @@ def test_set_diff_summary_has_multiset_semantics(spark):
     assert (r.l_rows, r.r_rows) == (4, 5)
     assert r.only_l == left.exceptAll(right).count() == 1
     assert r.only_r == right.exceptAll(left).count() == 2
+
+
+def test_null_channel_passes_checks_but_not_reconciliation(spark):
+    # a NULL channel gets a dimension row; its facts drop at the inner join, none of
+    # the eight checks notices, and the spend reconciliation does
+    from spendstar.operators.gold import build_gold
+    from spendstar.operators.silver import build_silver
+
+    raw = spark.createDataFrame(
+        [("2026-01-05", None, "CMP-1", "A", "10", "1", "5.00", "1", "DKK"),
+         ("2026-01-05", "Email", "CMP-1", "A", "10", "1", "7.00", "1", "DKK")],
+        "event_date string, channel string, campaign_id string, campaign_name string, impressions string, "
+        "clicks string, spend string, conversions string, currency string",
+    )
+    silver = build_silver(raw)
+    g = build_gold(silver)
+    assert g.dim_channel.rows == 2 and g.fact.count() == 1
+    results = Q.assert_quality(Q.run_checks(silver, g.fact, g.dim_date, g.dim_channel.df, g.dim_campaign.df))
+    assert all(r.passed for r in results)
+    rec = R.spend_reconciliation(silver, g.fact).first()
+    assert not rec.matches and str(rec.difference) == "-5.00"
