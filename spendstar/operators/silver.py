@@ -114,3 +114,22 @@ def build_silver(bronze: DataFrame, rates: Mapping[str, float] = FX_TO_DKK) -> D
     """
     typed = evaluate_once(typed_events(bronze, rates))
     return _to_money(typed.filter(is_valid()).distinct())
+
+
+def dedup_stats(bronze: DataFrame, rates: Mapping[str, float] = FX_TO_DKK) -> DataFrame:
+    """One row: valid rows, silver rows and duplicates removed, in one pass.
+
+    Valid rows are grouped on the silver columns once: the number of groups is
+    the silver row count and the sum of group sizes the valid row count. The
+    money guard runs on every group, so NaN or infinite spend fails as in silver.
+    """
+    typed = evaluate_once(typed_events(bronze, rates)).filter(is_valid())
+    groups = typed.groupBy(*SILVER_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
+    checked = groups.select("_n", _money(F.col("spend_dkk")).alias("_spend"))
+    stats = checked.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("valid_rows"),
+        F.count(F.col("_spend")).alias("silver_rows"),
+    )
+    return stats.select(
+        "valid_rows", "silver_rows", (F.col("valid_rows") - F.col("silver_rows")).alias("duplicates_removed")
+    )

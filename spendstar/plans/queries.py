@@ -21,7 +21,7 @@ from spendstar.operators import quality as Q
 from spendstar.operators import reconcile as R
 from spendstar.operators.fact import aggregate_grain, build_fact_join_first
 from spendstar.operators.gold import Gold, build_gold_from_grain
-from spendstar.operators.silver import build_silver, fx_rate, typed_events, valid_events
+from spendstar.operators.silver import build_silver, dedup_stats, fx_rate, typed_events
 from spendstar.schemas import FACT_SCHEMA, SILVER_SCHEMA
 from spendstar.session import apply_runtime_conf, scratch_path
 from spendstar.sources import extract as X
@@ -171,13 +171,7 @@ def q_silver_clean(spark, sf_dir):
 
 
 def q_duplicate_rows_removed(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    valid = valid_events(typed_events(b.raw))
-    v = valid.agg(F.count(F.lit(1))).scalar()
-    s = b.silver.agg(F.count(F.lit(1))).scalar()
-    return spark.range(1).select(
-        v.alias("valid_rows"), s.alias("silver_rows"), (v - s).alias("duplicates_removed")
-    )
+    return dedup_stats(Build(spark, sf_dir).raw)
 
 
 # -- gold -------------------------------------------------------------------------

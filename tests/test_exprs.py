@@ -126,3 +126,13 @@ def test_two_names_one_id_and_null_keys_last(spark):
     chans = {r.channel_name: r for r in build_dim_channel(silver).df.collect()}
     assert chans[None].channel_key == 3
     assert chans["Podcast"].channel_group == "Other" and chans["Email"].channel_group == "Owned"
+
+
+def test_dedup_stats_counts_and_guards(spark):
+    from spendstar.operators.silver import dedup_stats
+
+    rows = [row(), row(), row(clicks="11"), row(impressions="-1")]
+    r = dedup_stats(raw_df(spark, rows)).first()
+    assert (r.valid_rows, r.silver_rows, r.duplicates_removed) == (3, 2, 1)
+    with pytest.raises(Exception):
+        dedup_stats(raw_df(spark, [row(spend="NaN")])).collect()
