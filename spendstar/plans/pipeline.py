@@ -182,10 +182,7 @@ def format_report(rows) -> str:
 MAX_DOCUMENT_ENTRIES = 100_000
 
 
-def export(
-    spark: SparkSession, warehouse_uri: str, out_uri: str, generated_at: str, seed: int
-) -> dict:
-    """Write the extract of the published run to ``out_uri``; return it as a dict."""
+def _document(spark: SparkSession, warehouse_uri: str, generated_at: str, seed: int) -> DataFrame:
     g = published_gold(spark, warehouse_uri)
     fact, dim_channel, dim_date = g["fact_campaign_performance"], g["dim_channel"], g["dim_date"]
     channels, monthly = mart_channels(fact, dim_channel), mart_monthly(fact, dim_date)
@@ -193,7 +190,24 @@ def export(
     sizes = _counts({"channels": channels, "monthly": monthly})
     if max(sizes.values()) > MAX_DOCUMENT_ENTRIES:
         raise ValueError(f"extract would hold {sizes} entries; limit is {MAX_DOCUMENT_ENTRIES}")
-    doc = marts_document(mart_totals(fact), channels, monthly, generated_at, seed)
+    return marts_document(mart_totals(fact), channels, monthly, generated_at, seed)
+
+
+def build_marts(spark: SparkSession, warehouse_uri: str, generated_at: str, seed: int) -> dict:
+    """The extract of the published run as a dict (nothing written).
+
+    The document is one size-checked row; it is the only thing brought to the driver.
+    """
+    doc = _document(spark, warehouse_uri, generated_at, seed)
+    row = doc.select(F.to_json(F.struct(*doc.columns), {"ignoreNullFields": "false"}).alias("j")).first()
+    return json.loads(row["j"])
+
+
+def export(
+    spark: SparkSession, warehouse_uri: str, out_uri: str, generated_at: str, seed: int
+) -> dict:
+    """Write the extract of the published run to ``out_uri``; return it as a dict."""
+    doc = _document(spark, warehouse_uri, generated_at, seed)
     write_extract(spark, doc, out_uri)
     # the returned value is the file as written
     return json.loads(spark.read.text(out_uri, wholetext=True).first()["value"])

@@ -61,6 +61,7 @@ def test_report_and_export(spark, scratch):
     out = f"{scratch}/out/marts.json"
     doc = P.export(spark, wh, out, "2026-06-30T00:00:00Z", seed=31)
     assert json.loads(open(out).read()) == doc
+    assert P.build_marts(spark, wh, "2026-06-30T00:00:00Z", seed=31) == doc
     assert set(doc) == {"generated_at", "seed", "totals", "channels", "monthly"}
     assert doc["seed"] == 31 and len(doc["channels"]) == 6
     assert round(sum(c["spend_dkk"] for c in doc["channels"]), 2) == doc["totals"]["spend_dkk"]
