@@ -42,3 +42,22 @@ def test_text_to_int_equals_engine_cast(spark, texts):
     df = spark.createDataFrame([(t,) for t in expected], "t string").select("t", X.to_int_strict("t").alias("v"))
     got = {r.t: r.v for r in df.collect()}
     assert got == expected
+
+
+names = st.text(alphabet="abcXYZ -\t09 　 ​\n", max_size=16)
+CANONICAL_SQL = (
+    "select array_to_string(list_transform(string_split(trim(lower(?)), ' '), "
+    "lambda x: upper(left(x, 1)) || substr(x, 2)), ' '), trim(?)"
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(names, min_size=20, max_size=150, unique=True))
+def test_title_case_and_trim_equal_engine(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", X.canonical_name("t").alias("c"), X.trim_zs("t").alias("z")
+    )
+    got = {r.t: (r.c, r.z) for r in df.collect()}
+    con = duckdb.connect()
+    want = {t: tuple(con.execute(CANONICAL_SQL, [t, t]).fetchone()) for t in texts}
+    assert got == want
