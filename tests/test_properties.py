@@ -61,3 +61,47 @@ def test_title_case_and_trim_equal_engine(spark, texts):
     con = duckdb.connect()
     want = {t: tuple(con.execute(CANONICAL_SQL, [t, t]).fetchone()) for t in texts}
     assert got == want
+
+
+def _date_text(year, month, day, sep, pad, suffix, space):
+    m = f"{month:02d}" if pad else str(month)
+    d = f"{day:02d}" if pad else str(day)
+    return f"{space}{year}{sep}{m}{sep}{d}{suffix}{space}"
+
+
+date_texts = st.one_of(
+    st.builds(
+        _date_text,
+        st.integers(min_value=1000, max_value=2999),
+        st.integers(min_value=0, max_value=13),
+        st.integers(min_value=0, max_value=32),
+        st.sampled_from(["-", "/"]),
+        st.booleans(),
+        st.sampled_from(["", " 10:00:00", "T10:00"]),
+        st.sampled_from(["", " ", "　"]),
+    ),
+    st.builds(lambda y, m: f"{y}-{m:02d}", st.integers(min_value=1000, max_value=2999), st.integers(1, 12)),
+    st.builds(str, st.integers(min_value=1000, max_value=2999)),
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(date_texts, min_size=20, max_size=120, unique=True))
+def test_text_to_date_equals_engine_cast(spark, texts):
+    con = duckdb.connect()
+    ok, bad = {}, []
+    for t in texts:
+        try:
+            ok[t] = con.execute("select cast(trim(?) as date)", [t]).fetchone()[0]
+        except duckdb.Error:
+            bad.append(t)
+    if ok:
+        df = spark.createDataFrame([(t,) for t in ok], "t string").select("t", X.to_date_strict("t").alias("d"))
+        assert {r.t: r.d for r in df.collect()} == ok
+    for t in bad[:2]:  # each rejected text must fail the Spark job too
+        one = spark.createDataFrame([(t,)], "t string").select(X.to_date_strict("t").alias("d"))
+        try:
+            one.collect()
+        except Exception:  # noqa: BLE001
+            continue
+        raise AssertionError(f"Spark accepted {t!r}, the source engine rejects it")
