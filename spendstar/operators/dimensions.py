@@ -53,10 +53,11 @@ def build_dim_channel(
     groups: Mapping[str, str] = CHANNEL_GROUPS,
     single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
     rows: int | None = None,
+    pin_uri: str | None = None,
 ) -> Keyed:
     """Distinct channel names, keyed 1..n by name (NULL last), with their group."""
     names = silver.select(F.col("channel").alias("channel_name")).distinct()
-    keyed = assign_dense_keys(names, "channel_name", "channel_key", single_task_limit, rows)
+    keyed = assign_dense_keys(names, "channel_name", "channel_key", single_task_limit, rows, pin_uri)
     df = keyed.df.withColumn("channel_group", channel_group(F.col("channel_name"), groups))
     return Keyed(df.select(*DIM_CHANNEL_COLUMNS), keyed.rows)
 
@@ -65,6 +66,7 @@ def build_dim_campaign(
     silver: DataFrame,
     single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
     rows: int | None = None,
+    pin_uri: str | None = None,
 ) -> Keyed:
     """One row per campaign id, keyed 1..n by id (NULL last).
 
@@ -73,5 +75,5 @@ def build_dim_campaign(
     hash aggregate: a hot campaign is pre-reduced on every mapper.
     """
     ids = silver.groupBy("campaign_id").agg(F.min("campaign_name").alias("campaign_name"))
-    keyed = assign_dense_keys(ids, "campaign_id", "campaign_key", single_task_limit, rows)
+    keyed = assign_dense_keys(ids, "campaign_id", "campaign_key", single_task_limit, rows, pin_uri)
     return Keyed(keyed.df.select(*DIM_CAMPAIGN_COLUMNS), keyed.rows)

@@ -59,10 +59,13 @@ def assign_dense_keys(
     key_col: str,
     single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
     rows: int | None = None,
+    pin_uri: str | None = None,
 ) -> Keyed:
     """Add ``key_col`` (bigint) to rows that are unique on ``order_col``.
 
     ``rows`` is the number of rows when the caller already counted them.
+    ``pin_uri`` is where the range path writes its pinned copy (default: a fresh
+    folder under the shared work area).
     """
     order = F.col(order_col).asc_nulls_last()
     n = distinct_rows.count() if rows is None else rows
@@ -81,7 +84,7 @@ def assign_dense_keys(
         .withColumn("_pos", F.monotonically_increasing_id())
     )
     # pin the sampled range split: written once to the shared folder, read back
-    uri = scratch_path(spark, "dense-keys")
+    uri = pin_uri or scratch_path(spark, "dense-keys")
     ranged.write.mode("overwrite").parquet(uri)
     pinned = spark.read.parquet(uri)
     # one row per non-empty partition: its first position and its row count

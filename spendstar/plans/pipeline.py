@@ -102,15 +102,16 @@ def run(
     )
 
     # the grain aggregate (one scan of silver) feeds every gold table
-    grain_uri = f"{wh.root}/runs/{run_id}/_staging/grain"
+    staging = f"{wh.root}/runs/{run_id}/_staging"
+    grain_uri = f"{staging}/grain"
     aggregate_grain(silver).write.mode("overwrite").parquet(grain_uri)
     grain = spark.read.parquet(grain_uri)
 
     # dimensions first; the fact joins the written keys. The three dimension
     # writes are independent jobs, submitted together so the scheduler overlaps them.
     n = distinct_counts(grain, "channel", "campaign_id")
-    ch = build_dim_channel(grain, groups, single_task_limit, n["channel"])
-    cp = build_dim_campaign(grain, single_task_limit, n["campaign_id"])
+    ch = build_dim_channel(grain, groups, single_task_limit, n["channel"], f"{staging}/channel_keys")
+    cp = build_dim_campaign(grain, single_task_limit, n["campaign_id"], f"{staging}/campaign_keys")
     with ThreadPoolExecutor(max_workers=3) as pool:
         f_date = pool.submit(wh.write, build_dim_date(grain), run_id, "gold", "dim_date")
         f_ch = pool.submit(wh.write, ch.df, run_id, "gold", "dim_channel")
