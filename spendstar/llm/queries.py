@@ -12,10 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import bpe, fingerprints, sharding, token_counts
+from spendstar.llm import bpe, fingerprints, langid, packing, sharding, token_counts
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
+SEQUENCE = 2048
+END_ID = 1
 SHARDS = 24
 SHARD_SEED = 20
 
@@ -56,10 +58,29 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, bpe.default_path("byte_bpe_50k.json"), SEQUENCE, END_ID)
+    return pieces.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = langid.fit(docs, ~F.coalesce(held_out, F.lit(False)))
+    return langid.identify(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_counts": op2_token_counts,
     "op7_sharding": op7_sharding,
+    "op8_packing": op8_packing,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
