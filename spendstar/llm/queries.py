@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import bpe, fingerprints, langid, packing, sharding, token_counts
+from spendstar.llm import bpe, fingerprints, langid, near_dedup, packing, quality, sharding, token_counts
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
@@ -45,6 +45,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
     return placed.select(
@@ -75,12 +79,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_counts": op2_token_counts,
+    "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
