@@ -41,12 +41,6 @@ RANGES_PER_PARTITION = 4
 RADIUS = 3
 BLOCKS = 6
 
-_LANE = F.expr("4294967295L")
-
-
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
-
 
 def simhash(df: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
     """``keys`` plus a fingerprint column (long) per entry of ``texts`` (name -> text column).

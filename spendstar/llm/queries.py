@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import bpe, fingerprints, langid, near_dedup, packing, quality, sharding, token_counts
+from spendstar.llm import bpe, fingerprints, hnsw, langid, near_dedup, packing, quality, sharding, token_counts
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
@@ -83,9 +83,15 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_counts": op2_token_counts,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
