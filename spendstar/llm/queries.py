@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import bpe, fingerprints, hnsw, langid, near_dedup, packing, quality, sharding, token_counts
+from spendstar.llm import bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, quality, sharding, token_counts
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
@@ -45,6 +45,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = lm.train(docs.where(~out))
+    return lm.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -92,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_counts": op2_token_counts,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op5_lm_scores": op5_lm_scores,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
