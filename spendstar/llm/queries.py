@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, quality, sharding, token_counts
+from spendstar.llm import bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, pieces, quality, sharding, token_counts
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
@@ -45,6 +45,20 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = bpe.default_path("piece_bpe_32k.model")
+    both = pieces.decode_ids(pieces.encode_texts(docs, path), path)
+    return both.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        "n_ids",
+        "ids_crc32",
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
+
+
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
@@ -101,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_counts": op2_token_counts,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_lm_scores": op5_lm_scores,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
