@@ -21,6 +21,8 @@ _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 
 # Longer pieces are encoded each time: they seldom repeat and would bloat the cache.
 MAX_CACHED_CHARS = 48
+# Pieces that are put together from others are kept only if they are short.
+MAX_CACHED_CUT = 10
 
 
 class PieceCache(dict):
@@ -33,13 +35,19 @@ class PieceCache(dict):
         super().__init__(seed or {})
         self.tokenizer, self.value, self.limit, self.seed = tokenizer, value, limit, seed or {}
         self.heads: dict = {}
+        self.nothing = value([])
 
     def encode(self, text: str):
         return self.value(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, piece: str):
-        out = self.encode(" " + piece)
-        if len(piece) <= MAX_CACHED_CHARS:
+        parts = self._parts(piece)
+        if parts is not None:
+            left, between, right = parts
+            out = self[left] + (self.head(between) if between else self.nothing) + self.head(right)
+        else:
+            out = self.encode(" " + piece)
+        if len(piece) <= (MAX_CACHED_CHARS if parts is None else MAX_CACHED_CUT):
             if len(self) >= self.limit:
                 self.clear()
                 self.update(self.seed)
@@ -50,6 +58,10 @@ class PieceCache(dict):
         """The value of a piece without a blank before it."""
         out = self.heads.get(piece)
         if out is None:
+            parts = self._parts(piece)
+            if parts is not None:
+                left, between, right = parts
+                return self.head(left) + (self.head(between) if between else self.nothing) + self.head(right)
             out = self.encode(piece)
             if len(piece) <= MAX_CACHED_CHARS:
                 if len(self.heads) >= self.limit // 4:
@@ -57,6 +69,22 @@ class PieceCache(dict):
                 self.heads[piece] = out
         return out
 
+    @staticmethod
+    def _parts(piece: str) -> tuple[str, str, str] | None:
+        """A cut that the pre-tokeniser makes for sure: at a lone line break, or before a last stop.
+
+        Pieces beyond such cuts repeat more often.
+        """
+        i = piece.find("\n")
+        if i >= 0:
+            if 0 < i < len(piece) - 1 and not piece[i - 1].isspace() and not piece[i + 1].isspace():
+                return piece[:i], "\n", piece[i + 1 :]
+            return None
+        # a letter of the Latin blocks, which are letters in any Unicode version
+        if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2] < "\u0250" and piece[-2].isalpha():
+            return piece[:-1], "", piece[-1]
+        return None
+
     def values_of(self, text: str) -> Iterator:
         """Values of the text's pieces, in order (text without special strings)."""
         if "  " not in text:

@@ -22,6 +22,7 @@ are ignored, whatever their names.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -42,7 +43,7 @@ _CACHES: dict = {}
 
 
 def _ids_value(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _worker_cache(path: str) -> bpe.PieceCache:
