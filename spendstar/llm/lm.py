@@ -229,15 +229,17 @@ class Filter:
                 break
             seg, place = _positions(key[alive], np.full(len(alive), q))
             at = seg[:, None] * size + place
-            hit = ((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
+            hit = np.arange(len(alive))
+            for k in range(PROBES):  # an item goes on only while its bits are set
+                bit = at[hit, k]
+                hit = hit[(self.data[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
             alive = alive[hit]
             out[alive] = q
         return out
 
     def counts(self, key: np.ndarray, kind: str) -> np.ndarray:
         with np.errstate(over="ignore"):
-            distinct, back = np.unique(typed_key(key, kind), return_inverse=True)
-            return _value(self.levels(distinct), self.least[kind])[back]
+            return _value(self.levels(typed_key(key, kind)), self.least[kind])
 
 
 def _fill(rows: pd.DataFrame) -> pd.DataFrame:
@@ -362,12 +364,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             with np.errstate(over="ignore"):
                 h = _hashed(words)
                 pair = pair_keys(h, start)
-                before = np.concatenate([h[:1], h[:-1]])
-                before[start] = np.uint64(_worker_hashes()[END])
                 c_pair = held.counts(pair, "pair")
-                c_word = held.counts(h, "word")
-                c_before = held.counts(before, "word")
-                kept = held.counts(pair >> np.uint64(32), "first")
+                # words repeat: each is looked up once, as itself and as a first token
+                distinct, back = np.unique(h, return_inverse=True)
+                of_word = held.counts(distinct, "word")
+                of_first = held.counts(_mix(distinct) >> np.uint64(32), "first")
+            c_word = of_word[back]
+            # the token before: the one to the left, for a text's first token an end
+            left = np.concatenate([back[-1:], back[:-1]])
+            left[start] = back[-1]
+            c_before, kept = of_word[left], of_first[left]
             # a first token is seen at least as often as its kept pairs
             c_before = np.maximum(c_before, kept) + ADDED
             c_pair = np.minimum(c_pair, kept)
