@@ -5,7 +5,7 @@ and a rest. The rests are packed as a cutting-stock problem over their length
 histogram: lengths are rounded up to ``GRAIN`` ids, so there are at most
 ``capacity / GRAIN`` classes however many documents there are. The linear program
 over patterns (how many rests of each class share a sequence) starts from
-one-class patterns; a knapsack dynamic program over the current prices finds the
+first-fit decreasing; a knapsack dynamic program over the current prices finds the
 pattern that lowers the cost most, until none does. The patterns' numbers are
 rounded down, and what is left of each class, fewer than one sequence per pattern,
 is packed first-fit decreasing into patterns that are used once. Only the
@@ -37,7 +37,7 @@ from spendstar.llm.common import prepare, shuffle_parts
 
 GRAIN = 8
 CACHE_LIMIT = 600_000
-ROUNDS = 5_000
+ROUNDS = 3_000
 
 _CACHES: dict = {}
 
@@ -116,6 +116,36 @@ def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> np.nda
     return counts
 
 
+def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of patterns that meet the demand exactly, and their numbers.
+
+    Patterns are filled first-fit decreasing with the classes that are left and used
+    until one of those runs out. A class belongs to the pattern that uses it up, so
+    the columns are independent; classes that run out together get one-class patterns.
+    """
+    m = len(sizes)
+    basis, amount = np.zeros((m, m)), np.zeros(m)
+    left = demand.astype(float).copy()
+    open_ = left > 0
+    for k in np.flatnonzero(~open_):
+        basis[k, k] = capacity // sizes[k]
+    descending = np.argsort(-sizes)
+    while open_.any():
+        room, counts = capacity, np.zeros(m)
+        for k in descending:
+            if open_[k]:
+                counts[k], room = room // sizes[k], room % sizes[k]
+        used = np.flatnonzero(counts)
+        times = float((left[used] / counts[used]).min())
+        left[used] -= times * counts[used]
+        out = used[left[used] <= 1e-9 * demand[used]]
+        for k in out:
+            left[k], open_[k] = 0.0, False
+            basis[k, k] = capacity // sizes[k]
+        basis[:, out[0]], amount[out[0]] = counts, times
+    return basis, amount
+
+
 def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS):
     """Patterns (rows of counts) and their real-valued numbers of an optimal linear program.
 
@@ -123,10 +153,9 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = RO
     pivots (any basis on the way is a valid packing, only less tight).
     """
     m = len(sizes)
-    basis = np.diag((capacity // sizes).astype(float))  # columns are patterns
-    inverse = np.diag(1 / (capacity // sizes).astype(float))
+    basis, amount = first_basis(sizes, demand, capacity)
+    inverse = np.linalg.inv(basis)
     cost = np.ones(m)
-    amount = demand / np.diag(basis)
     for _ in range(rounds):
         prices = cost @ inverse
         pattern = best_pattern(np.maximum(prices, 0), sizes, capacity).astype(float)
