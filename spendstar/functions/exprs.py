@@ -56,9 +56,26 @@ def r2(x: Column) -> Column:
     return round_half_away(x * F.lit(100.0)) / F.lit(100.0)
 
 
+# Numbers as the source engine reads them: digits, a point, an exponent. No type suffix,
+# no hexadecimal form.
+_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_WORD = r"^[+-]?([nN][aA][nN]|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
+# Dates: year, month and day with one separator, then nothing or a time.
+_DATE = (
+    r"^([0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4,6}/[0-9]{1,2}/[0-9]{1,2})"
+    r"([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]+)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$"
+)
+
+
+def _checked(text: Column, grammar: Column, what: str, value: Column) -> Column:
+    failed = F.raise_error(F.concat(F.lit(f"invalid {what} text: "), text))
+    return F.when(text.isNull() | grammar, value).otherwise(failed)
+
+
 def to_double_strict(c: Column | str) -> Column:
-    """Text -> double; malformed text aborts the job (ANSI cast)."""
-    return trim_zs(_col(c)).cast("double")
+    """Text -> double; text that is not a plain number aborts the job."""
+    t = trim_zs(_col(c))
+    return _checked(t, t.rlike(_NUMBER) | t.rlike(_WORD), "number", t.cast("double"))
 
 
 def to_int_strict(c: Column | str) -> Column:
@@ -71,20 +88,10 @@ def to_int_strict(c: Column | str) -> Column:
 
 
 def to_date_strict(c: Column | str) -> Column:
-    """Text -> date accepting ``2026-1-5``, ``2026/01/05`` and a trailing time.
-
-    The ANSI cast already rejects malformed text, except ``yyyy`` and ``yyyy-[m]m``
-    (which Spark reads as the first day of the year or month) when they are the
-    whole text. Both have fewer than two ``-``; a date with a day has two. So the
-    guard only counts dashes, no regular expression per row.
-    """
-    t = F.translate(trim_zs(_col(c)), "/", "-")
-    dashes = F.length(t) - F.length(F.translate(t, "-", ""))
-    return (
-        F.when(t.isNull(), F.lit(None).cast("date"))
-        .when(dashes >= 2, t.cast("date"))
-        .otherwise(F.raise_error(F.concat(F.lit("invalid date text: "), t)).cast("date"))
-    )
+    """Text -> date accepting ``2026-1-5``, ``2026/01/05`` and a trailing time; else abort."""
+    t = trim_zs(_col(c))
+    day = F.regexp_extract(t, r"^[0-9]+[-/][0-9]+[-/][0-9]+", 0)
+    return _checked(t, t.rlike(_DATE), "date", F.translate(day, "/", "-").cast("date"))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

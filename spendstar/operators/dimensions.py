@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendstar.functions.exprs import date_key
-from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed, assign_dense_keys
-from spendstar.refdata import CHANNEL_GROUPS, MAX_REFERENCE_ROWS, OTHER_GROUP
+from spendstar.operators.keys import Keyed, assign_dense_keys
+from spendstar.refdata import CHANNEL_GROUPS, OTHER_GROUP, lookup
 from spendstar.schemas import DIM_CAMPAIGN_COLUMNS, DIM_CHANNEL_COLUMNS, DIM_DATE_COLUMNS
 
 
@@ -40,32 +40,23 @@ def build_dim_date(silver: DataFrame) -> DataFrame:
 
 def channel_group(name: Column, groups: Mapping[str, str] = CHANNEL_GROUPS) -> Column:
     """Catalog group of a channel name; names outside the catalog are ``Other``."""
-    if len(groups) > MAX_REFERENCE_ROWS:
-        raise ValueError(f"{len(groups)} catalog channels; limit is {MAX_REFERENCE_ROWS}")
-    pairs = []
-    for channel, group in groups.items():
-        pairs += [F.lit(channel), F.lit(group)]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), name), F.lit(OTHER_GROUP))
+    return lookup(groups, name, OTHER_GROUP)
 
 
 def build_dim_channel(
     silver: DataFrame,
     groups: Mapping[str, str] = CHANNEL_GROUPS,
-    single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
-    rows: int | None = None,
     pin_uri: str | None = None,
 ) -> Keyed:
     """Distinct channel names, keyed 1..n by name (NULL last), with their group."""
     names = silver.select(F.col("channel").alias("channel_name")).distinct()
-    keyed = assign_dense_keys(names, "channel_name", "channel_key", single_task_limit, rows, pin_uri)
+    keyed = assign_dense_keys(names, "channel_name", "channel_key", pin_uri)
     df = keyed.df.withColumn("channel_group", channel_group(F.col("channel_name"), groups))
     return Keyed(df.select(*DIM_CHANNEL_COLUMNS), keyed.rows)
 
 
 def build_dim_campaign(
     silver: DataFrame,
-    single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
-    rows: int | None = None,
     pin_uri: str | None = None,
 ) -> Keyed:
     """One row per campaign id, keyed 1..n by id (NULL last).
@@ -75,5 +66,5 @@ def build_dim_campaign(
     hash aggregate: a hot campaign is pre-reduced on every mapper.
     """
     ids = silver.groupBy("campaign_id").agg(F.min("campaign_name").alias("campaign_name"))
-    keyed = assign_dense_keys(ids, "campaign_id", "campaign_key", single_task_limit, rows, pin_uri)
+    keyed = assign_dense_keys(ids, "campaign_id", "campaign_key", pin_uri)
     return Keyed(keyed.df.select(*DIM_CAMPAIGN_COLUMNS), keyed.rows)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from spendstar.operators.dimensions import build_dim_campaign, build_dim_channel, build_dim_date
 from spendstar.operators.fact import aggregate_grain, build_fact
-from spendstar.operators.keys import DEFAULT_SINGLE_TASK_LIMIT, Keyed, distinct_counts
+from spendstar.operators.keys import Keyed
 from spendstar.refdata import CHANNEL_GROUPS
 
 GOLD_TABLES = ("dim_date", "dim_channel", "dim_campaign", "fact_campaign_performance")
@@ -43,16 +43,10 @@ class Gold:
 def build_gold_from_grain(
     grain: DataFrame,
     groups: Mapping[str, str] = CHANNEL_GROUPS,
-    single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
 ) -> Gold:
-    """Dimensions first (their keys feed the fact), then the fact.
-
-    Both dimensions' sizes come from one counting job; they decide the key path
-    and whether a dimension may be broadcast.
-    """
-    n = distinct_counts(grain, "channel", "campaign_id")
-    dim_channel = build_dim_channel(grain, groups, single_task_limit, n["channel"])
-    dim_campaign = build_dim_campaign(grain, single_task_limit, n["campaign_id"])
+    """Dimensions first (their keys feed the fact), then the fact."""
+    dim_channel = build_dim_channel(grain, groups)
+    dim_campaign = build_dim_campaign(grain)
     return Gold(
         dim_date=build_dim_date(grain),
         dim_channel=dim_channel,
@@ -64,7 +58,6 @@ def build_gold_from_grain(
 def build_gold(
     silver: DataFrame,
     groups: Mapping[str, str] = CHANNEL_GROUPS,
-    single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
 ) -> Gold:
     """The star schema straight from silver (grain not materialised)."""
-    return build_gold_from_grain(aggregate_grain(silver), groups, single_task_limit)
+    return build_gold_from_grain(aggregate_grain(silver), groups)

@@ -1,89 +1,53 @@
 """Dense surrogate keys: 1..n in ascending natural-key order, NULL last.
 
-``row_number() over (order by k)`` has no partition, so Spark runs it in one
-task. That is right for a few thousand keys and wrong for hundreds of millions.
-``assign_dense_keys`` counts the distinct keys first and picks:
-
-* at most ``single_task_limit`` keys: the global window (one small task);
-* more: a range-partitioned sort. Rows get their partition id and in-partition
-  position, the result is written to the shared folder and read back (range
-  bounds are sampled, so an unpinned recomputation could move rows between
-  partitions; the stored ids no longer depend on how the copy is split),
-  per-partition counts (one row per partition) give each partition its offset,
-  and key = offset + position. No step holds more than one partition.
-
-Both paths give identical keys; ``tests/test_keys.py`` compares them.
+The distinct rows are range-partitioned and sorted on the natural key, so no task
+holds more than its range. Rows get their partition id and in-partition position;
+the result is written to the shared folder and read back (range bounds are sampled,
+so an unpinned recomputation could move rows between partitions). Per-partition
+counts (one row per partition) give each partition its offset, and
+key = offset + position. The number of partitions is the session's shuffle
+partitioning, whatever the number of keys; adaptive execution may not merge them
+below what the data need.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendstar.session import scratch_path
 
-DEFAULT_SINGLE_TASK_LIMIT = 1_000_000
-ROWS_PER_RANGE_PARTITION = 2_000_000
-# Below this many rows a keyed dimension is broadcast to the fact join.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def distinct_counts(df: DataFrame, *cols: str) -> dict[str, int]:
-    """Exact number of distinct values (NULL counted as one) of several columns, one job."""
-    aggs = []
-    for c in cols:
-        has_null = F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
-        aggs.append((F.count_distinct(F.col(c)) + F.coalesce(has_null, F.lit(0))).alias(c))
-    row = df.agg(*aggs).first()
-    return {c: int(row[c]) for c in cols}
-
 
 @dataclass(frozen=True)
 class Keyed:
-    """A keyed dimension and its exact row count (known before any broadcast)."""
+    """A keyed dimension and its exact row count."""
 
     df: DataFrame
     rows: int
 
     def for_join(self, *cols: str) -> DataFrame:
-        """The dimension projected for a join; broadcast only when provably small."""
-        df = self.df.select(*cols) if cols else self.df
-        return F.broadcast(df) if self.rows <= BROADCAST_ROW_LIMIT else df
+        """The dimension projected for a join; Spark chooses how from the written size."""
+        return self.df.select(*cols) if cols else self.df
 
 
 def assign_dense_keys(
-    distinct_rows: DataFrame,
-    order_col: str,
-    key_col: str,
-    single_task_limit: int = DEFAULT_SINGLE_TASK_LIMIT,
-    rows: int | None = None,
-    pin_uri: str | None = None,
+    distinct_rows: DataFrame, order_col: str, key_col: str, pin_uri: str | None = None
 ) -> Keyed:
     """Add ``key_col`` (bigint) to rows that are unique on ``order_col``.
 
-    ``rows`` is the number of rows when the caller already counted them.
-    ``pin_uri`` is where the range path writes its pinned copy (default: a fresh
-    folder under the shared work area).
+    ``pin_uri`` is where the pinned copy is written (default: a fresh folder under
+    the shared work area).
     """
     order = F.col(order_col).asc_nulls_last()
-    n = distinct_rows.count() if rows is None else rows
-    if n <= single_task_limit:
-        keyed = distinct_rows.select(
-            F.row_number().over(Window.orderBy(order)).cast("long").alias(key_col), "*"
-        )
-        return Keyed(keyed, n)
-
     spark = distinct_rows.sparkSession
-    parts = max(2, -(-n // ROWS_PER_RANGE_PARTITION))
     ranged = (
-        distinct_rows.repartitionByRange(parts, order)
+        distinct_rows.repartitionByRange(order)
         .sortWithinPartitions(order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    # pin the sampled range split: written once to the shared folder, read back
     uri = pin_uri or scratch_path(spark, "dense-keys")
     ranged.write.mode("overwrite").parquet(uri)
     pinned = spark.read.parquet(uri)
@@ -93,13 +57,11 @@ def assign_dense_keys(
         .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .collect()
     )
-    offsets, running = [], 0
+    shift, running = {}, 0
     for row in sorted(counts, key=lambda r: r["_pid"]):
-        offsets.append((row["_pid"], row["_first"], running))
+        shift[row["_pid"]] = running - row["_first"] + 1
         running += row["_n"]
-    offs = spark.createDataFrame(offsets, "_pid int, _first long, _offset long")
-    keyed = pinned.join(F.broadcast(offs), "_pid").select(
-        (F.col("_offset") + (F.col("_pos") - F.col("_first")) + 1).alias(key_col),
-        *distinct_rows.columns,
-    )
-    return Keyed(keyed, n)
+    # one number per partition, looked up by position: the offset of a row's partition
+    offsets = [shift.get(k, 0) for k in range(max(shift, default=0) + 1)]
+    key = F.element_at(F.lit(offsets), F.col("_pid") + 1) + F.col("_pos")
+    return Keyed(pinned.select(key.cast("long").alias(key_col), *distinct_rows.columns), running)

@@ -7,7 +7,7 @@ average of ratios. All marts aggregate the fact, which is already one row per
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendstar.functions.exprs import cost_per_conversion, ctr_pct, money_to_double
@@ -97,36 +97,28 @@ def mart_monthly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     ).orderBy(F.col("year_month").asc_nulls_last())
 
 
+def _long(wide: DataFrame, keys: list[str], labelled) -> DataFrame:
+    """One row per metric: literal names and labels beside the value, no join."""
+    entries = [
+        F.struct(F.lit(m).alias("metric"), F.lit(label).alias("label"), F.col(m).cast("double").alias("value"))
+        for m, label in labelled
+    ]
+    return wide.select(*keys, F.inline(F.array(*entries)))
+
+
 def monthly_metric_series(monthly: DataFrame) -> DataFrame:
     """Long form of the monthly mart: (year_month, metric, label, value)."""
-    long = monthly.unpivot(["year_month"], [m for m, _ in METRICS], "metric", "value")
-    return long.join(_labels(monthly.sparkSession, METRICS), "metric").select(
-        "year_month", "metric", "label", "value"
-    )
+    return _long(monthly, ["year_month"], METRICS)
 
 
 def channel_metric_series(channels: DataFrame) -> DataFrame:
     """Long form of the channel mart: (channel_group, channel_name, metric, label, value)."""
-    long = channels.unpivot(
-        ["channel_group", "channel_name"], [m for m, _ in METRICS], "metric", "value"
-    )
-    return long.join(_labels(channels.sparkSession, METRICS), "metric").select(
-        "channel_group", "channel_name", "metric", "label", "value"
-    )
+    return _long(channels, ["channel_group", "channel_name"], METRICS)
 
 
 def kpi_long(totals: DataFrame) -> DataFrame:
     """The four KPI cards as (metric, label, value) rows; values as double."""
-    wide = totals.select(*[F.col(m).cast("double").alias(m) for m, _ in KPI_LABELS])
-    long = wide.unpivot([], [m for m, _ in KPI_LABELS], "metric", "value")
-    return long.join(_labels(totals.sparkSession, KPI_LABELS), "metric").select(
-        "metric", "label", "value"
-    )
-
-
-def _labels(spark: SparkSession, pairs) -> DataFrame:
-    # a handful of literal rows: broadcast is size-bounded by construction
-    return F.broadcast(spark.createDataFrame(list(pairs), "metric string, label string"))
+    return _long(totals, [], KPI_LABELS)
 
 
 def marts_document(

@@ -21,23 +21,14 @@ from spendstar.functions.exprs import (
     to_int_strict,
     trim_zs,
 )
-from spendstar.refdata import FX_TO_DKK, MAX_REFERENCE_ROWS
+from spendstar.refdata import FX_TO_DKK, lookup
 from spendstar.schemas import MONEY, SILVER_COLUMNS
 
 
 def fx_rate(currency: Column, rates: Mapping[str, float] = FX_TO_DKK) -> Column:
-    """Rate to DKK of a raw currency cell; unknown or missing currency -> 1.0.
-
-    The rates are a literal map (size known, checked): a lookup inside codegen,
-    no join and no broadcast exchange.
-    """
-    if len(rates) > MAX_REFERENCE_ROWS:
-        raise ValueError(f"{len(rates)} FX rates; limit is {MAX_REFERENCE_ROWS}")
-    pairs = []
-    for code, rate in rates.items():
-        pairs += [F.lit(str(code).upper()), F.lit(float(rate))]
-    code = F.upper(trim_zs(currency))
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code), F.lit(1.0))
+    """Rate to DKK of a raw currency cell; unknown or missing currency -> 1.0."""
+    by_code = {str(code).upper(): float(rate) for code, rate in rates.items()}
+    return lookup(by_code, F.upper(trim_zs(currency)), 1.0)
 
 
 def typed_events(bronze: DataFrame, rates: Mapping[str, float] = FX_TO_DKK) -> DataFrame:
@@ -76,11 +67,6 @@ def _money(c: Column) -> Column:
     ).cast(MONEY)
 
 
-def valid_events(typed: DataFrame) -> DataFrame:
-    """Typed rows that pass validation, money as decimal(14,2) (duplicates kept)."""
-    return _to_money(evaluate_once(typed).filter(is_valid()))
-
-
 def _to_money(df: DataFrame) -> DataFrame:
     return df.select(
         *[_money(F.col(c)).alias(c) if c == "spend_dkk" else F.col(c) for c in SILVER_COLUMNS]

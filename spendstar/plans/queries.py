@@ -19,7 +19,7 @@ from spendstar.functions.exprs import canonical_name, r2, to_double_strict, trim
 from spendstar.operators import marts as M
 from spendstar.operators import quality as Q
 from spendstar.operators import reconcile as R
-from spendstar.operators.fact import aggregate_grain, build_fact_join_first
+from spendstar.operators.fact import aggregate_grain, natural_fact, silver_sums
 from spendstar.operators.gold import Gold, build_gold_from_grain
 from spendstar.operators.silver import build_silver, dedup_stats, fx_rate, typed_events
 from spendstar.schemas import FACT_SCHEMA, SILVER_SCHEMA
@@ -48,19 +48,6 @@ def boundary(df: DataFrame) -> DataFrame:
     )
 
 
-# Lazy plans only (no data): reusing them saves re-listing files and re-analysing
-# the same definitions for every query. Each query still computes its data.
-_PLANS: dict[tuple, tuple[DataFrame, DataFrame]] = {}
-
-
-def _lazy_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-    if key not in _PLANS:
-        raw = raw_events(spark, sf_dir)
-        _PLANS[key] = (raw, build_silver(raw))
-    return _PLANS[key]
-
-
 class Build:
     """Layers of one query over one scale-factor folder.
 
@@ -73,7 +60,8 @@ class Build:
     def __init__(self, spark: SparkSession, sf_dir: str):
         apply_runtime_conf(spark)
         self.spark = spark
-        self.raw, self.silver = _lazy_layers(spark, sf_dir)
+        self.raw = raw_events(spark, sf_dir)
+        self.silver = build_silver(self.raw)
         self._silver_table: DataFrame | None = None
         self._grain_table: DataFrame | None = None
         self._gold: Gold | None = None
@@ -240,8 +228,7 @@ def q_quality_checks(spark, sf_dir):
     b.silver_table  # noqa: B018 - materialise silver first; gold then derives from it
     g = b.gold
     return Q.run_checks(
-        b.silver_table, g.fact, g.dim_date, g.dim_channel.df, g.dim_campaign.df, g.dim_channel.rows, g.dim_campaign.rows
-    )
+        b.silver_table, g.fact, g.dim_date, g.dim_channel.df, g.dim_campaign.df)
 
 
 def q_quality_checks_violations(spark, sf_dir):
@@ -253,18 +240,14 @@ def q_quality_checks_violations(spark, sf_dir):
         _fact_with_orphan(b),
         g.dim_date,
         g.dim_channel.df,
-        g.dim_campaign.df,
-        g.dim_channel.rows,
-        g.dim_campaign.rows,
-    )
+        g.dim_campaign.df)
 
 
 def q_orphan_facts(spark, sf_dir):
     b = Build(spark, sf_dir)
     g = b.gold
     orphans = Q.fact_orphans(
-        _fact_with_orphan(b), g.dim_date, g.dim_channel.df, g.dim_campaign.df, g.dim_channel.rows, g.dim_campaign.rows
-    )
+        _fact_with_orphan(b), g.dim_date, g.dim_channel.df, g.dim_campaign.df)
     return boundary(orphans)
 
 
@@ -292,8 +275,10 @@ def q_fact_parity_diff(spark, sf_dir):
     b = Build(spark, sf_dir)
     b.silver_table  # noqa: B018
     g = b.gold
-    other = build_fact_join_first(b.silver_table, g.dim_channel.df, g.dim_campaign.df)
-    return R.set_diff_summary(R.in_cents(g.fact), R.in_cents(other), "primary", "join_first")
+    resolved = natural_fact(g.fact, g.dim_channel.df, g.dim_campaign.df)
+    return R.set_diff_summary(
+        R.in_cents(resolved), R.in_cents(silver_sums(b.silver_table)), "fact", "silver"
+    )
 
 
 def q_layer_row_counts(spark, sf_dir):

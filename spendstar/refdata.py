@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
 # Rate that converts one unit of the currency into DKK.
@@ -44,39 +44,12 @@ CAMPAIGNS: tuple[tuple[str, str, str], ...] = (
 )
 # --- end of fixed values ----------------------------------------------------
 
-FX_SCHEMA = T.StructType(
-    [
-        T.StructField("currency_code", T.StringType(), False),
-        T.StructField("rate_to_dkk", T.DoubleType(), False),
-    ]
-)
-CHANNEL_CATALOG_SCHEMA = T.StructType(
-    [
-        T.StructField("catalog_channel", T.StringType(), False),
-        T.StructField("catalog_group", T.StringType(), False),
-    ]
-)
-
-# A reference table above this many rows is not a reference table; refuse to
-# broadcast it rather than risk an executor OOM.
-MAX_REFERENCE_ROWS = 100_000
-
-
-def _check_size(name: str, mapping: Mapping) -> None:
-    if len(mapping) > MAX_REFERENCE_ROWS:
-        raise ValueError(f"{name} has {len(mapping)} entries; limit is {MAX_REFERENCE_ROWS}")
-
-
-def fx_rates_df(spark: SparkSession, rates: Mapping[str, float] = FX_TO_DKK) -> DataFrame:
-    """FX rates as a small DataFrame (size known: one row per currency code)."""
-    _check_size("fx rates", rates)
-    rows = [(str(code).upper(), float(rate)) for code, rate in rates.items()]
-    return spark.createDataFrame(rows, FX_SCHEMA)
 
+def lookup(values: Mapping[str, object], key: Column, default: object) -> Column:
+    """The entry of a small mapping for ``key``, else ``default`` (NULL keys too).
 
-def channel_catalog_df(
-    spark: SparkSession, groups: Mapping[str, str] = CHANNEL_GROUPS
-) -> DataFrame:
-    """Channel catalog as a small DataFrame (size known: one row per channel)."""
-    _check_size("channel catalog", groups)
-    return spark.createDataFrame(list(groups.items()), CHANNEL_CATALOG_SCHEMA)
+    The mapping is a literal of the plan: these are catalogs of a few entries. A
+    table of rates belongs in a joined DataFrame instead.
+    """
+    pairs = [F.lit(x) for item in values.items() for x in item]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(default))

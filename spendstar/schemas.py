@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 
 # Money is exact decimal inside the warehouse.
 MONEY = T.DecimalType(14, 2)
+# Sums of money: a grain can hold more than a single event.
+MONEY_SUM = T.DecimalType(38, 2)
 
 RAW_COLUMNS = (
     "event_date",
@@ -116,20 +118,11 @@ FACT_SCHEMA = T.StructType(
         T.StructField("campaign_key", T.LongType(), True),
         T.StructField("impressions", T.LongType(), True),
         T.StructField("clicks", T.LongType(), True),
-        T.StructField("spend_dkk", MONEY, True),
+        T.StructField("spend_dkk", MONEY_SUM, True),
         T.StructField("conversions", T.LongType(), True),
     ]
 )
 
-CHECK_SCHEMA = T.StructType(
-    [
-        T.StructField("name", T.StringType(), False),
-        T.StructField("passed", T.BooleanType(), False),
-        T.StructField("offending_rows", T.LongType(), False),
-        T.StructField("detail", T.StringType(), False),
-    ]
-)
-
 # The published extract (one JSON document).
 TOTALS_SCHEMA = T.StructType(
     [

@@ -86,16 +86,6 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``Dataset.checkpoint`` usable: point it at the shared folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    sc.setCheckpointDir(shared_root(spark) + "/checkpoints")
-    return sc.getCheckpointDir()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for an intermediate write."""
     return f"{shared_root(spark)}/work/{name}-{uuid.uuid4().hex[:12]}"

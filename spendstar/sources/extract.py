@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendstar.schemas import MARTS_SCHEMA
 
@@ -38,10 +39,12 @@ def write_extract(spark: SparkSession, doc: DataFrame, uri: str) -> str:
         raise ExtractError(f"expected one part file in {folder}, found {len(parts)}")
     target = jvm.org.apache.hadoop.fs.Path(uri)
     fs.mkdirs(target.getParent())
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(parts[0], target):
-        raise ExtractError(f"could not move the extract to {uri}")
+    # a rename that replaces: at no time is there no extract
+    options = jvm.org.apache.hadoop.fs.Options.Rename
+    replace = spark.sparkContext._gateway.new_array(options, 1)  # noqa: SLF001
+    replace[0] = options.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf) if target.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(conf)
+    context.rename(fs.makeQualified(parts[0]), fs.makeQualified(target), replace)
     fs.delete(src_dir, True)
     return uri
 
@@ -51,27 +54,22 @@ def read_extract(spark: SparkSession, uri: str) -> DataFrame:
 
     Raises ``ExtractError`` when the document lacks that shape.
     """
-    try:
-        doc = (
-            spark.read.schema(MARTS_SCHEMA)
-            .option("multiLine", True)
-            .option("mode", "FAILFAST")
-            .json(uri)
-        )
-        invalid = (
-            F.col("totals").isNull()
-            | F.col("totals.spend_dkk").isNull()
-            | F.col("channels").isNull()
-            | F.col("monthly").isNull()
-        )
-        stats = doc.agg(
-            F.count(F.lit(1)).alias("n"), F.count(F.when(invalid, 1)).alias("bad")
-        ).first()
-        n_docs, n_bad = stats["n"], stats["bad"]
-    except ExtractError:
-        raise
-    except Exception as exc:  # noqa: BLE001 - malformed JSON, wrong types
-        raise ExtractError(f"invalid extract at {uri}: {exc}") from exc
-    if n_docs == 0 or n_bad:
-        raise ExtractError(f"invalid extract at {uri}: missing totals, channels or monthly")
-    return doc
+    whole = spark.read.text(uri, wholetext=True).select(F.btrim("value", F.lit(" \t\r\n")).alias("text"))
+    # one object, and a number (not its text) as total spend
+    number = F.get_json_object("text", "$.totals").rlike(r'"spend_dkk"\s*:\s*-?[0-9]')
+    fitting = F.col("text").startswith("{") & F.col("text").endswith("}") & number
+    # in brackets, a second document is an error or a second element
+    listed = F.from_json(F.concat(F.lit("["), "text", F.lit("]")), T.ArrayType(MARTS_SCHEMA))
+    parsed = whole.select(fitting.alias("fits"), listed.alias("docs")).select(
+        (F.col("fits") & (F.size("docs") == 1)).alias("fits"), F.try_element_at("docs", F.lit(1)).alias("doc")
+    )
+    complete = (
+        F.col("fits")
+        & F.col("doc.totals.spend_dkk").isNotNull()
+        & F.col("doc.channels").isNotNull()
+        & F.col("doc.monthly").isNotNull()
+    )
+    found = [bool(r["ok"]) for r in parsed.select(complete.alias("ok")).collect()]
+    if found != [True]:
+        raise ExtractError(f"invalid extract at {uri}: {len(found)} file(s), or not one object with totals, channels and monthly")
+    return parsed.select("doc.*")

@@ -10,11 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendstar.schemas import RAW_COLUMNS
 from spendstar.sources.raw_csv import read_raw_csv
 
 LANDING_CONF = "spendstar.landing.uri"
-DEFAULT_LANDING_BLOB = "campaign_events.csv"
 
 
 def resolve_landing_uri(
@@ -33,8 +31,7 @@ def resolve_landing_uri(
 def write_raw_csv(raw: DataFrame, uri: str) -> str:
     """Write raw text rows as CSV with a header, keeping spaces and quotes intact."""
     (
-        raw.select(*RAW_COLUMNS)
-        .write.mode("overwrite")
+        raw.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -45,9 +42,20 @@ def write_raw_csv(raw: DataFrame, uri: str) -> str:
     return uri
 
 
-def land(spark: SparkSession, source_uri: str, landing_uri: str) -> str:
+def _qualified(spark: SparkSession, uri: str) -> str:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)  # noqa: SLF001
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return fs.makeQualified(path).toString().rstrip("/") + "/"
+
+
+def land(spark: SparkSession, source_uri: str, landing_uri: str, **reading) -> str:
     """Stage the raw file(s) at ``source_uri`` into ``landing_uri``; return its URI.
 
-    Overwrites what was there, as an upload with overwrite would.
+    Every column of the files is kept, known or not. What was landed there before is
+    replaced, so a place that is, holds or lies in the source is refused. ``reading``
+    are options of :func:`read_raw_csv`.
     """
-    return write_raw_csv(read_raw_csv(spark, source_uri), landing_uri)
+    source, target = _qualified(spark, source_uri), _qualified(spark, landing_uri)
+    if source.startswith(target) or target.startswith(source):
+        raise ValueError(f"landing place {landing_uri} and source {source_uri} overlap")
+    return write_raw_csv(read_raw_csv(spark, source_uri, all_columns=True, **reading), landing_uri)

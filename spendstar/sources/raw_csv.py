@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from spendstar.schemas import RAW_COLUMNS
 
 # URI schemes that need credentials configured on the Hadoop side.
-_OBJECT_STORE_PREFIXES = ("abfs://", "abfss://", "wasb://", "wasbs://", "s3a://", "gs://")
+_OBJECT_STORE_PREFIXES = ("abfs://", "abfss://", "az://", "wasb://", "wasbs://", "s3://", "s3a://", "gs://")
 
 
 def _check_credentials(spark: SparkSession, uri: str, required_conf: str | None) -> None:
@@ -32,13 +32,14 @@ def read_raw_csv(
     multiline: bool = False,
     credential_conf: str | None = None,
     with_file_path: bool = False,
+    all_columns: bool = False,
 ) -> DataFrame:
     """Read raw campaign events (header row, all text) from a file, folder or glob.
 
     ``multiline`` allows quoted cells with line breaks; it makes each file a single
     split, so it is off by default. ``credential_conf`` names the Hadoop setting an
     object-store URI needs (for example an account key); it is checked up front.
-    ``with_file_path`` adds ``_source_file``: the file each row was read from.
+    ``all_columns`` keeps columns beyond the known ones. ``with_file_path`` adds ``_source_file``: the file each row was read from.
     """
     _check_credentials(spark, uri, credential_conf)
     # A FAILFAST scan that prunes columns silently accepts ragged rows.
@@ -56,7 +57,8 @@ def read_raw_csv(
     missing = [c for c in RAW_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"raw file {uri} lacks columns {missing}; header is {df.columns}")
-    cols = [F.col(f"`{c}`").cast("string").alias(c) for c in RAW_COLUMNS]
+    wanted = df.columns if all_columns else RAW_COLUMNS
+    cols = [F.col(f"`{c}`").cast("string").alias(c) for c in wanted]
     if with_file_path:
         cols.append(F.col("_metadata.file_path").alias("_source_file"))
     return df.select(*cols)

@@ -31,43 +31,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# (application id, input files) -> number of scan splits; planning a scan to
-# count its splits reads file footers, so the answer is kept per input.
-_SPLITS: dict[tuple, int] = {}
+SPREAD_CONF = "spendstar.scan.spread"
 
 
-def scan_splits(df: DataFrame) -> int:
-    key = (df.sparkSession.sparkContext.applicationId, tuple(sorted(df.inputFiles())))
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    return _SPLITS[key]
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan's rows round-robin into as many partitions as ``SPREAD_CONF`` says.
 
-
-def ensure_scan_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the session has cores.
-
-    A big input arrives as many splits and is left alone (no shuffle). A file
-    with one row group is one split, and everything fused above the scan would
-    run in one task; a round-robin repartition spreads it evenly whatever the
-    key distribution. It hashes all columns together: deterministic on retry
-    without the local sort a round-robin split needs, and only a flood of exactly
-    identical rows could land in one partition.
+    Off unless set: a scan keeps its splits. Worth setting for a small file of one
+    row group, which is one task otherwise.
     """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = scan_splits(df)
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    if splits >= want:
-        return df
-    return df.repartition(want, *df.columns)
+    wanted = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def raw_events_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Project ``lineitem`` to raw campaign events (9 text columns)."""
     names = F.array(*[F.lit(name) for _, name, _ in CAMPAIGNS])
     channels = F.array(*[F.lit(channel) for _, _, channel in CAMPAIGNS])
-    li = ensure_scan_parallelism(lineitem.select(*LINEITEM_COLUMNS))
+    li = spread(lineitem.select(*LINEITEM_COLUMNS))
     k = (F.col("l_partkey") % 10).cast("int")
     ok = F.col("l_orderkey")
     q = F.col("l_quantity").cast("int")

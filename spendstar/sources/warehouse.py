@@ -69,21 +69,22 @@ class Warehouse:
             made.append(layer)
         return made
 
+    def claim(self, run_id: str) -> None:
+        """Take a run id for a new attempt; one that was used before is refused."""
+        fs, path = _jvm_path(self.spark, f"{self.root}/runs/{run_id}")
+        if fs.exists(path):
+            raise FileExistsError(f"run {run_id} exists under {self.root}; every attempt needs its own id")
+        self.ensure_layers(run_id)
+
+    def remove(self, uri: str) -> None:
+        """Delete a folder of a finished step."""
+        fs, path = _jvm_path(self.spark, uri)
+        fs.delete(path, True)
+
     # -- write / read -----------------------------------------------------------
-    def write(
-        self,
-        df: DataFrame,
-        run_id: str,
-        layer: str,
-        table: str,
-        partition_by: tuple[str, ...] = (),
-    ) -> DataFrame:
-        """Rebuild a table (overwrite) and return it read back from storage."""
-        uri = self.table_uri(run_id, layer, table)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(uri)
+    def write(self, df: DataFrame, run_id: str, layer: str, table: str) -> DataFrame:
+        """Write a table of a claimed run and return it read back from storage."""
+        df.write.mode("overwrite").parquet(self.table_uri(run_id, layer, table))
         return self.read(layer, table, run_id=run_id)
 
     def read(self, layer: str, table: str, run_id: str | None = None) -> DataFrame:

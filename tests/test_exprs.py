@@ -106,7 +106,10 @@ def test_lenient_text(spark):
     "bad",
     [dict(impressions="abc"), dict(event_date="2026-01"), dict(event_date="2026"),
      dict(spend="NaN"), dict(spend="1234567890123"), dict(event_date="2026-13-01"),
-     dict(event_date="2026-01-05x"), dict(spend="inf")],
+     dict(event_date="2026-01-05x"), dict(spend="inf"), dict(impressions="12d"), dict(impressions="12f"),
+     dict(spend="0x1p3"), dict(spend="1.5F"), dict(spend="12D"), dict(event_date="2026-01-05 garbage"),
+     dict(event_date="2026-01-05Tgarbage"), dict(event_date="2026-01-05 (BC)"), dict(event_date="+2026-01-05"),
+     dict(event_date="2026/01-05")],
 )
 def test_bad_text_fails_the_run(spark, bad):
     with pytest.raises(Exception):

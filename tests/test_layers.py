@@ -40,12 +40,12 @@ def test_checks_pass_and_orphan_fails(build):
 
 
 def test_grain_unique_and_parity(build):
-    from spendstar.operators.fact import build_fact_join_first
+    from spendstar.operators.fact import natural_fact, silver_sums
 
     g = build.gold
     assert g.fact.groupBy("date_key", "channel_key", "campaign_key").count().filter("count > 1").count() == 0
-    other = build_fact_join_first(build.silver_table, g.dim_channel.df, g.dim_campaign.df)
-    diff = R.set_diff_summary(R.in_cents(g.fact), R.in_cents(other), "a", "b").first()
+    resolved = natural_fact(g.fact, g.dim_channel.df, g.dim_campaign.df)
+    diff = R.set_diff_summary(R.in_cents(resolved), R.in_cents(silver_sums(build.silver_table)), "a", "b").first()
     assert diff.only_a == 0 and diff.only_b == 0 and diff.a_rows == diff.b_rows
 
 
@@ -83,3 +83,25 @@ def test_null_channel_passes_checks_but_not_reconciliation(spark):
     assert all(r.passed for r in results)
     rec = R.spend_reconciliation(silver, g.fact).first()
     assert not rec.matches and str(rec.difference) == "-5.00"
+
+
+def test_a_folder_that_grows_is_seen(spark, scratch):
+    spark.read.parquet(f"{SF001}/lineitem.parquet").limit(100).write.parquet(f"{scratch}/lineitem.parquet")
+    before = Build(spark, scratch).raw.count()
+    spark.read.parquet(f"{SF001}/lineitem.parquet").limit(500).write.mode("append").parquet(f"{scratch}/lineitem.parquet")
+    assert Build(spark, scratch).raw.count() > 5 * before
+
+
+def test_a_grain_may_hold_more_than_a_single_event(spark):
+    from spendstar.operators.gold import build_gold
+    from spendstar.operators.silver import build_silver
+
+    raw = spark.createDataFrame(
+        [("2026-01-05", "Email", "CMP-1", "A", str(n), "1", "600000000000.00", "1", "DKK") for n in (10, 11)],
+        "event_date string, channel string, campaign_id string, campaign_name string, impressions string, "
+        "clicks string, spend string, conversions string, currency string",
+    )
+    silver = build_silver(raw)
+    fact = build_gold(silver).fact
+    assert str(fact.first().spend_dkk) == "1200000000000.00"
+    assert R.spend_reconciliation(silver, fact).first().matches

@@ -32,7 +32,8 @@ def test_run_is_idempotent_and_published(spark, scratch):
     assert first.bronze == 808 and first.silver > 0
     assert first.gold == second.gold and first.gold["fact_campaign_performance"] > 0
     assert Warehouse(spark, wh).current_run() == second.run_id
-    assert "all passed" in first.format()
+    assert first.run_id in first.format() and "8 passed checks" in first.format()
+    assert not (tmp := __import__("pathlib").Path(wh)).joinpath("runs", first.run_id, "_staging").exists() and tmp.exists()
 
 
 def test_failed_gate_keeps_last_good_run(spark, scratch):
@@ -53,8 +54,8 @@ def test_report_and_export(spark, scratch):
     P.run(spark, src, wh)
     rows = [tuple(r) for r in P.report(spark, wh).collect()]
     assert rows and rows == sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3]))
-    text = P.format_report(rows)
-    assert text.splitlines()[0].split()[0] == "group"
+    text = list(P.format_report(P.report(spark, wh)))
+    assert text[0].split("\t")[0] == "channel_group" and len(text) == len(rows) + 1
     csv_uri = P.write_report_csv(P.report(spark, wh), f"{scratch}/report_csv")
     back = spark.read.option("header", True).csv(csv_uri)
     assert back.count() == len(rows) and back.columns[:2] == ["channel_group", "channel_name"]
@@ -107,17 +108,49 @@ def test_ragged_csv_fails(spark, scratch):
         read_raw_csv(spark, path).select("channel").count()
 
 
-def test_range_keys_give_the_same_warehouse(spark, scratch):
-    src = G.write_events(spark, 600, 11, f"{scratch}/raw")
-    a = P.run(spark, src, f"{scratch}/wa", run_id="a")
-    b = P.run(spark, src, f"{scratch}/wb", run_id="b", single_task_limit=1)
-    assert a.gold == b.gold
-    fa = Warehouse(spark, f"{scratch}/wa").read("gold", "fact_campaign_performance")
-    fb = Warehouse(spark, f"{scratch}/wb").read("gold", "fact_campaign_performance")
-    assert fa.exceptAll(fb).count() == 0 and fb.exceptAll(fa).count() == 0
-    ka = Warehouse(spark, f"{scratch}/wa").read("gold", "dim_campaign")
-    kb = Warehouse(spark, f"{scratch}/wb").read("gold", "dim_campaign")
-    assert ka.exceptAll(kb).count() == 0
+def test_a_used_run_id_is_refused_and_stays_published(spark, scratch):
+    src = G.write_events(spark, 300, 11, f"{scratch}/raw")
+    wh = f"{scratch}/wh"
+    P.run(spark, src, wh, run_id="a")
+    bad = f"{scratch}/bad"
+    G.generate_events(spark, 50, 3).withColumn("spend", F.lit("0")).write.option("header", True).csv(bad)
+    with pytest.raises(FileExistsError):
+        P.run(spark, bad, wh, run_id="a")
+    assert Warehouse(spark, wh).current_run() == "a"
+    assert Warehouse(spark, wh).read("gold", "fact_campaign_performance").count() > 0
+
+
+def test_landing_refuses_its_source_and_keeps_all_columns(spark, scratch):
+    raw = G.generate_events(spark, 50, 7).withColumn("region", F.lit("north"))
+    from spendstar.sources.landing import write_raw_csv
+
+    src = write_raw_csv(raw, f"{scratch}/src")
+    for place in (src, f"{src}/below", scratch):
+        with pytest.raises(ValueError):
+            land(spark, src, place)
+    assert spark.read.option("header", True).csv(src).count() == raw.count()
+    landed = land(spark, src, f"{scratch}/landed")
+    assert spark.read.option("header", True).csv(landed).filter("region = 'north'").count() == raw.count()
+
+
+def test_cells_with_line_breaks_through_the_run(spark, scratch):
+    path = f"{scratch}/multi.csv"
+    header = "event_date,channel,campaign_id,campaign_name,impressions,clicks,spend,conversions,currency"
+    with open(path, "w") as fh:
+        fh.write(header + '\n2026-01-05,Email,CMP-1,"two\nlines",1,1,1.00,1,DKK\n')
+    done = P.run(spark, path, f"{scratch}/wm", multiline=True, landing_uri=f"{scratch}/landm")
+    assert (done.bronze, done.silver) == (1, 1)
+
+
+@pytest.mark.parametrize("text", ['[{"totals": {"spend_dkk": 1.0}, "channels": [], "monthly": []}]',
+                                  '{"totals": {"spend_dkk": "NaN"}, "channels": [], "monthly": []}',
+                                  '{"totals": {"spend_dkk": 1.0}, "channels": [], "monthly": []} {}'])
+def test_extract_validator_is_strict(spark, scratch, text):
+    path = f"{scratch}/x.json"
+    with open(path, "w") as fh:
+        fh.write(text)
+    with pytest.raises(ExtractError):
+        read_extract(spark, path)
 
 
 def test_generator_distributions(spark):

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from spendstar.plans.queries import QUERIES
 
 from .conftest import SF001
 
@@ -20,9 +20,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_forbidden_operators(spark, key):
-    plan = _plan(E.queries()[key](spark, SF001))
+    plan = _plan(QUERIES[key](spark, SF001))
     for name in FORBIDDEN:
         assert name not in plan, f"{key} plans a {name}"
 
