@@ -154,7 +154,14 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = RO
     """
     m = len(sizes)
     basis, amount = first_basis(sizes, demand, capacity)
-    inverse = np.linalg.inv(basis)
+    # the inverse by exchanging one column after another; the columns are triangular in the
+    # order their classes run out, so no exchange meets a zero
+    inverse = np.eye(m)
+    for k in range(m):
+        step = inverse @ basis[:, k]
+        row = inverse[k] / step[k]
+        inverse -= np.outer(step, row)
+        inverse[k] = row
     cost = np.ones(m)
     for _ in range(rounds):
         prices = cost @ inverse
