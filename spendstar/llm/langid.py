@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -268,8 +269,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def language_column(model: Model, text: Column) -> Column:
     """A struct (lang_pred, score) of ``text``, to filter rows that keep all their columns."""
-    import pandas as pd
-
     @F.pandas_udf("lang_pred string, score double")
     def label(texts: pd.Series) -> pd.DataFrame:
         names, score = predict(model, [t if isinstance(t, str) else None for t in texts])
