@@ -119,29 +119,3 @@ def channel_metric_series(channels: DataFrame) -> DataFrame:
 def kpi_long(totals: DataFrame) -> DataFrame:
     """The four KPI cards as (metric, label, value) rows; values as double."""
     return _long(totals, [], KPI_LABELS)
-
-
-def marts_document(
-    totals: DataFrame,
-    channels: DataFrame,
-    monthly: DataFrame,
-    generated_at: str,
-    seed: int,
-) -> DataFrame:
-    """The extract as one row: generated_at, seed, totals, channels[], monthly[].
-
-    Each part is a scalar subquery over an already aggregated mart (one entry per
-    channel / month), so nothing is joined and no raw data reaches the driver.
-    Arrays are sorted by their leading fields: (group, name) and year_month.
-    """
-    spark = totals.sparkSession
-    totals_struct = totals.select(F.struct(*totals.columns).alias("t"))
-    channel_arr = channels.agg(F.sort_array(F.collect_list(F.struct(*channels.columns))).alias("c"))
-    monthly_arr = monthly.agg(F.sort_array(F.collect_list(F.struct(*monthly.columns))).alias("m"))
-    return spark.range(1).select(
-        F.lit(generated_at).cast("string").alias("generated_at"),
-        F.lit(int(seed)).cast("long").alias("seed"),
-        totals_struct.scalar().alias("totals"),
-        F.coalesce(channel_arr.scalar(), F.array()).alias("channels"),
-        F.coalesce(monthly_arr.scalar(), F.array()).alias("monthly"),
-    )

@@ -9,7 +9,6 @@ A failed gate raises and leaves the previously published run in place.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
@@ -25,7 +24,6 @@ from spendstar.operators.marts import (
     mart_channels,
     mart_monthly,
     mart_totals,
-    marts_document,
     report_channel_month,
 )
 from spendstar.operators.quality import CheckResult, assert_quality, run_checks
@@ -33,7 +31,7 @@ from spendstar.operators.silver import build_silver
 from spendstar.refdata import CHANNEL_GROUPS, FX_TO_DKK
 from spendstar.schemas import RAW_COLUMNS
 from spendstar.session import apply_runtime_conf
-from spendstar.sources.extract import write_extract
+from spendstar.sources.extract import document_lines, write_extract
 from spendstar.sources.landing import land, resolve_landing_uri
 from spendstar.sources.raw_csv import load_bronze
 from spendstar.sources.warehouse import Warehouse
@@ -176,28 +174,29 @@ def format_report(report_df: DataFrame) -> Iterator[str]:
         yield "\t".join("-" if v is None else str(v) for v in row)
 
 
-def _document(spark: SparkSession, warehouse_uri: str, generated_at: str, seed: int) -> DataFrame:
+def _marts(spark: SparkSession, warehouse_uri: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     g = published_gold(spark, warehouse_uri)
-    fact, dim_channel, dim_date = g["fact_campaign_performance"], g["dim_channel"], g["dim_date"]
-    channels, monthly = mart_channels(fact, dim_channel), mart_monthly(fact, dim_date)
-    return marts_document(mart_totals(fact), channels, monthly, generated_at, seed)
+    fact = g["fact_campaign_performance"]
+    return mart_totals(fact), mart_channels(fact, g["dim_channel"]), mart_monthly(fact, g["dim_date"])
 
 
 def build_marts(spark: SparkSession, warehouse_uri: str, generated_at: str, seed: int) -> dict:
     """The extract of the published run as a dict (nothing written).
 
-    The document, an entry per channel and per month, is brought to the driver.
+    For callers in Python: the dict has an entry per channel and per month.
+    :func:`export` writes the same document without holding it.
     """
-    doc = _document(spark, warehouse_uri, generated_at, seed)
-    row = doc.select(F.to_json(F.struct(*doc.columns), {"ignoreNullFields": "false"}).alias("j")).first()
-    return json.loads(row["j"])
-
-
-def export(
-    spark: SparkSession, warehouse_uri: str, out_uri: str, generated_at: str, seed: int
-) -> dict:
-    """Write the extract of the published run to ``out_uri``; return it as a dict."""
-    doc = _document(spark, warehouse_uri, generated_at, seed)
-    write_extract(spark, doc, out_uri)
-    # the returned value is the file as written
-    return json.loads(spark.read.text(out_uri, wholetext=True).first()["value"])
+    totals, channels, monthly = _marts(spark, warehouse_uri)
+    return {
+        "generated_at": generated_at,
+        "seed": int(seed),
+        "totals": totals.first().asDict(),
+        "channels": [r.asDict() for r in channels.toLocalIterator()],
+        "monthly": [r.asDict() for r in monthly.toLocalIterator()],
+    }
+
+
+def export(spark: SparkSession, warehouse_uri: str, out_uri: str, generated_at: str, seed: int) -> str:
+    """Write the extract of the published run to ``out_uri``; return that place."""
+    lines = document_lines(*_marts(spark, warehouse_uri), generated_at, seed)
+    return write_extract(spark, lines, out_uri)

@@ -209,17 +209,28 @@ def q_kpi_long(spark, sf_dir):
     return M.kpi_long(Build(spark, sf_dir).totals())
 
 
-def q_marts_document(spark, sf_dir):
+def _extract(spark, sf_dir) -> DataFrame:
+    """The extract, written and read back."""
     b = Build(spark, sf_dir)
-    return M.marts_document(b.totals(), b.channels(), b.monthly(), GENERATED_AT, SEED)
+    lines = X.document_lines(b.totals(), b.channels(), b.monthly(), GENERATED_AT, SEED)
+    uri = X.write_extract(spark, lines, scratch_path(spark, "extract") + "/marts.json")
+    return X.read_extract(spark, uri)
+
+
+def q_marts_document(spark, sf_dir):
+    return X.flattened(_extract(spark, sf_dir))
+
+
+def q_marts_extract_totals(spark, sf_dir):
+    return _extract(spark, sf_dir).select("totals.*")
 
 
 def q_marts_extract_channels(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    doc = M.marts_document(b.totals(), b.channels(), b.monthly(), GENERATED_AT, SEED)
-    uri = X.write_extract(spark, doc, scratch_path(spark, "extract") + "/marts.json")
-    back = X.read_extract(spark, uri)
-    return back.select(F.explode("channels").alias("c")).select("c.*")
+    return _extract(spark, sf_dir).select(F.inline("channels"))
+
+
+def q_marts_extract_monthly(spark, sf_dir):
+    return _extract(spark, sf_dir).select(F.inline("monthly"))
 
 
 # -- quality ----------------------------------------------------------------------
@@ -243,6 +254,16 @@ def q_quality_checks_violations(spark, sf_dir):
         g.dim_campaign.df)
 
 
+def q_quality_checks_repeats(spark, sf_dir):
+    """The checks on a fact whose first campaign comes twice, once with negative counts."""
+    b = Build(spark, sf_dir)
+    b.silver_table  # noqa: B018
+    g = b.gold
+    again = g.fact.where("campaign_key = 1").withColumn("impressions", -F.col("impressions"))
+    return Q.run_checks(
+        b.silver_table, g.fact.unionByName(again), g.dim_date, g.dim_channel.df, g.dim_campaign.df)
+
+
 def q_orphan_facts(spark, sf_dir):
     b = Build(spark, sf_dir)
     g = b.gold
@@ -260,6 +281,13 @@ def q_silver_duplicate_groups(spark, sf_dir):
     return boundary(R.silver_duplicate_groups(Build(spark, sf_dir).silver))
 
 
+def q_silver_duplicate_groups_violations(spark, sf_dir):
+    """Duplicate groups of silver in which one campaign's rows come twice."""
+    silver = Build(spark, sf_dir).silver
+    again = silver.where("campaign_id = 'CMP-1003'")
+    return boundary(R.silver_duplicate_groups(silver.unionByName(again)))
+
+
 def q_spend_reconciliation(spark, sf_dir):
     b = Build(spark, sf_dir)
     b.silver_table  # noqa: B018
@@ -315,12 +343,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_metric_series": q_channel_metric_series,
     "kpi_long": q_kpi_long,
     "marts_document": q_marts_document,
+    "marts_extract_totals": q_marts_extract_totals,
     "marts_extract_channels": q_marts_extract_channels,
+    "marts_extract_monthly": q_marts_extract_monthly,
     "quality_checks": q_quality_checks,
     "quality_checks_violations": q_quality_checks_violations,
+    "quality_checks_repeats": q_quality_checks_repeats,
     "orphan_facts": q_orphan_facts,
     "silver_canonical_violations": q_silver_canonical_violations,
     "silver_duplicate_groups": q_silver_duplicate_groups,
+    "silver_duplicate_groups_violations": q_silver_duplicate_groups_violations,
     "spend_reconciliation": q_spend_reconciliation,
     "mart_reconciliation": q_mart_reconciliation,
     "fact_parity_diff": q_fact_parity_diff,

@@ -1,50 +1,86 @@
 """The published extract: one JSON document with totals, channel and monthly marts.
 
-Built as a one-row DataFrame of structs and arrays, serialised with ``to_json``
-on an executor, and written as a single text file. Only the finished document
-(a few kilobytes: one entry per channel and per month) is ever small enough to
-be one row.
+The document's lines are a DataFrame, one line per channel and per month, sorted and
+written in parallel; the part files are then streamed one after another into a single
+file that replaces the old one. No task and no driver memory holds the document.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendstar.schemas import MARTS_SCHEMA
 
-JSON_OPTIONS = {"ignoreNullFields": "false", "pretty": "true"}
+JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
 class ExtractError(ValueError):
     """The extract does not have the required shape."""
 
 
-def document_json(doc: DataFrame) -> DataFrame:
-    """One row, one column ``json``: the document as indented text, NULLs kept."""
-    return doc.select(F.to_json(F.struct(*doc.columns), JSON_OPTIONS).alias("json"))
+def _entry_lines(part: int, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """A line per row; all but the one of the smallest keys start with a comma."""
+    key = F.struct(*keys)
+    smallest = rows.agg(F.min(key).alias("k")).scalar()
+    comma = F.when(key == smallest, "").otherwise(",")
+    line = F.concat(comma, F.to_json(F.struct(*rows.columns), JSON_OPTIONS))
+    return rows.select(F.lit(part).alias("part"), F.array(*keys).alias("key"), line.alias("line"))
+
+
+def document_lines(
+    totals: DataFrame, channels: DataFrame, monthly: DataFrame, generated_at: str, seed: int
+) -> DataFrame:
+    """(part, key, line): the document's lines, to be sorted by part and key."""
+    opening = json.dumps({"generated_at": generated_at, "seed": int(seed)})[:-1] + ', "totals":'
+    frame = [
+        (0, F.concat(F.lit(opening), F.to_json(F.struct(*totals.columns), JSON_OPTIONS), F.lit(', "channels":['))),
+        (2, F.lit('], "monthly":[')),
+        (4, F.lit("]}")),
+    ]
+    none = F.array().cast("array<string>")
+    structs = [F.struct(F.lit(p).alias("part"), none.alias("key"), line.alias("line")) for p, line in frame]
+    return (
+        totals.select(F.inline(F.array(*structs)))
+        .unionByName(_entry_lines(1, channels, ["channel_group", "channel_name"]))
+        .unionByName(_entry_lines(3, monthly, ["year_month"]))
+    )
 
 
-def write_extract(spark: SparkSession, doc: DataFrame, uri: str) -> str:
-    """Write the document to ``uri`` as one file (parent folders are created)."""
+def write_extract(spark: SparkSession, lines: DataFrame, uri: str) -> str:
+    """Write the lines to ``uri`` as one file (parent folders are created)."""
     folder = uri.rstrip("/") + ".parts"
-    document_json(doc).coalesce(1).write.mode("overwrite").text(folder)
+    lines.orderBy("part", "key").select("line").write.mode("overwrite").text(folder)
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
     src_dir = jvm.org.apache.hadoop.fs.Path(folder)
     fs = src_dir.getFileSystem(conf)
-    parts = [st.getPath() for st in fs.listStatus(src_dir) if st.getPath().getName().startswith("part-")]
-    if len(parts) != 1:
-        raise ExtractError(f"expected one part file in {folder}, found {len(parts)}")
+    names = [st.getPath().getName() for st in fs.listStatus(src_dir)]
+    parts = sorted((n for n in names if n.startswith("part-")), key=lambda n: int(n.split("-")[1]))
     target = jvm.org.apache.hadoop.fs.Path(uri)
     fs.mkdirs(target.getParent())
+    whole = jvm.org.apache.hadoop.fs.Path(src_dir, "whole")
+    out = fs.create(whole, True)
+    try:
+        for name in parts:
+            part = fs.open(jvm.org.apache.hadoop.fs.Path(src_dir, name))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
     # a rename that replaces: at no time is there no extract
     options = jvm.org.apache.hadoop.fs.Options.Rename
     replace = spark.sparkContext._gateway.new_array(options, 1)  # noqa: SLF001
     replace[0] = options.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf) if target.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(conf)
-    context.rename(fs.makeQualified(parts[0]), fs.makeQualified(target), replace)
+    target = fs.makeQualified(target)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(
+        fs.makeQualified(whole), target, replace
+    )
     fs.delete(src_dir, True)
     return uri
 
@@ -73,3 +109,14 @@ def read_extract(spark: SparkSession, uri: str) -> DataFrame:
     if found != [True]:
         raise ExtractError(f"invalid extract at {uri}: {len(found)} file(s), or not one object with totals, channels and monthly")
     return parsed.select("doc.*")
+
+
+def flattened(document: DataFrame) -> DataFrame:
+    """A read extract as rows: one of the totals, one per channel, one per month."""
+    about = ["generated_at", "seed"]
+    parts = [
+        document.select(F.lit("totals").alias("section"), *about, "totals.*"),
+        document.select(F.lit("channels").alias("section"), *about, F.inline("channels")),
+        document.select(F.lit("monthly").alias("section"), *about, F.inline("monthly")),
+    ]
+    return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
