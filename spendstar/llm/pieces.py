@@ -14,8 +14,9 @@ merged piece alone; tests compare with the library.) Characters without a piece
 are written as their UTF-8 bytes.
 
 White space is escaped and, where no piece continues past the start of an escaped
-blank, such a start is a boundary that all paths share: the text is cut there, and
-the ids of the stretches, which repeat, come from a bounded cache in each worker.
+blank, such a start is a boundary that all paths share; so is every place between two
+characters that no piece holds in this order. The text is cut there, and the ids of
+the stretches, which repeat, come from a bounded cache in each worker.
 
 Defined cases: a NULL or empty text has no ids and is decoded to the empty text;
 repeated rows each give a row; an empty table gives no rows; other columns are
@@ -71,8 +72,14 @@ class PieceModel:
         # no piece goes on past the start of an escaped blank
         self.cuts = not any(ESCAPE in p.lstrip(ESCAPE) for p in self.id_of)
         self.unknown_score = min(self.score_of[i] for i in self.id_of.values()) - UNKNOWN_PENALTY
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
+        # BPE: pieces that their own characters' merges give, and the length of the longest
+        # of them that ends with a character
+        self.usable = {t: i for t, i in self.id_of.items() if self.bpe and self.merged(t) == [t]}
+        self.reach: dict[str, int] = {}
+        for t in self.usable:
+            self.reach[t[-1]] = max(self.reach.get(t[-1], 0), len(t))
+        self.joints = {t[k : k + 2] for t in self.id_of for k in range(len(t) - 1)}
+        self.pairs = _Pairs(self)
 
     def merged(self, text: str) -> list[str]:
         """Merges of a short text's characters, best score first, leftmost of equals."""
@@ -87,25 +94,6 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def stands(self, piece: int) -> bool:
-        """Whether merging a piece's own characters gives the piece."""
-        out = self.whole.get(piece)
-        if out is None:
-            out = self.whole[piece] = self.merged(self.text_of[piece]) == [self.text_of[piece]]
-        return out
-
-    def follows(self, before: int, piece: int) -> bool:
-        """Whether ``piece`` may stand after ``before`` (-1: start or a character in bytes)."""
-        if before < 0:
-            return True
-        out = self.pairs.get((before, piece))
-        if out is None:
-            if len(self.pairs) >= PAIR_LIMIT:
-                self.pairs.clear()
-            a, b = self.text_of[before], self.text_of[piece]
-            out = self.pairs[before, piece] = self.merged(a + b) == [a, b]
-        return out
-
     def in_bytes(self, char: str) -> list[int]:
         data = char.encode("utf-8", "replace")
         if all(b in self.id_of_byte for b in data):
@@ -113,8 +101,23 @@ class PieceModel:
         return [self.unknown]
 
 
+class _Pairs(dict):
+    """Whether a piece may follow another, by ``before * number of pieces + piece``."""
+
+    def __init__(self, model: PieceModel):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, pair: int) -> bool:
+        if len(self) >= PAIR_LIMIT:
+            self.clear()
+        a, b = map(self.model.text_of.__getitem__, divmod(pair, len(self.model.text_of)))
+        out = self[pair] = self.model.merged(a + b) == [a, b]
+        return out
+
+
 class Stream:
-    """The search over one stretch of normalised text, fed character by character."""
+    """The search over one stretch of normalised text, fed part by part."""
 
     def __init__(self, model: PieceModel):
         self.model = model
@@ -125,32 +128,55 @@ class Stream:
         self.text = ""  # characters since the last commit
 
     def feed(self, chars: str) -> None:
-        m = self.model
+        window = 4 * self.model.longest
+        extend = self._extend_valid if self.model.bpe else self._extend_best
+        at = 0
+        while at < len(chars):
+            room = max(1, window - len(self.text))
+            extend(chars[at : at + room])
+            at += room
+            if len(self.text) >= window:
+                self.commit()
+
+    def _extend_valid(self, chars: str) -> None:
+        """Adds, per boundary, the last piece of the one valid path to it."""
+        m, back = self.model, self.back
+        piece_of, pairs, n, reach, known = m.usable.get, m.pairs, len(m.text_of), m.reach, m.id_of
+        end = len(self.text)
+        self.text = text = self.text + chars
         for c in chars:
-            self.text += c
-            end = len(self.text)
+            end += 1
+            state = None
+            for start in range(end - 1, max(-1, end - reach.get(c, 0) - 1), -1):
+                piece = piece_of(text[start:end])
+                if piece is not None and back[start] is not None:
+                    before = back[start][1]
+                    if before < 0 or pairs[before * n + piece]:
+                        state = (start, piece, 0.0)
+                        break
+            if state is None and c not in known and back[end - 1] is not None:
+                state = (end - 1, -1, 0.0)
+            back.append(state)
+
+    def _extend_best(self, chars: str) -> None:
+        """Adds, per boundary, the last piece of the best path to it; the shorter of equals."""
+        m, back = self.model, self.back
+        end = len(self.text)
+        self.text = text = self.text + chars
+        for c in chars:
+            end += 1
             best = None
             for start in range(end - 1, max(-1, end - m.longest - 1), -1):
-                state = self.back[start]
-                if state is None:
-                    continue
-                piece = m.id_of.get(self.text[start:end])
-                if piece is None:
-                    continue
-                if m.bpe:
-                    if m.stands(piece) and m.follows(state[1], piece):
-                        best = (start, piece, 0.0)
-                        break
-                elif best is None or state[2] + m.score_of[piece] > best[2]:
-                    best = (start, piece, state[2] + m.score_of[piece])
-            if c not in m.id_of:
-                state = self.back[end - 1]
-                value = state[2] + m.unknown_score if state is not None else 0.0
-                if state is not None and (best is None or (not m.bpe and value > best[2])):
-                    best = (end - 1, -1, value)
-            self.back.append(best)
-            if end >= 4 * m.longest:
-                self.commit()
+                piece = m.id_of.get(text[start:end])
+                if piece is not None and back[start] is not None:
+                    value = back[start][2] + m.score_of[piece]
+                    if best is None or value > best[2]:
+                        best = start, piece, value
+            if c not in m.id_of and back[end - 1] is not None:
+                value = back[end - 1][2] + m.unknown_score
+                if best is None or value > best[2]:
+                    best = end - 1, -1, value
+            back.append(best)
 
     def _path(self, end: int) -> list[int]:
         out = [end]
@@ -203,17 +229,30 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
 
     def stretch(self, text: str) -> bytes:
+        """The ids of a stretch: those of its parts between sure boundaries."""
+        joints, at, out = self.model.joints, 0, []
+        for k in range(1, len(text)):
+            if text[k - 1 : k + 1] not in joints:
+                out.append(self.part(text[at:k]))
+                at = k
+        out.append(self.part(text[at:]))
+        return self.keep(text, b"".join(out)) if at else out[0]
+
+    def part(self, text: str) -> bytes:
         out = self.cache.get(text)
         if out is None:
             stream = Stream(self.model)
             stream.feed(text)
-            out = np.array(stream.finish(), dtype="<u4").tobytes()
-            if len(text) <= MAX_CACHED_CHARS:
-                if len(self.cache) >= self.limit:
-                    self.cache.clear()
-                self.cache[text] = out
+            out = self.keep(text, np.array(stream.finish(), dtype="<u4").tobytes())
         return out
 
+    def keep(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= MAX_CACHED_CHARS:
+            if len(self.cache) >= self.limit:
+                self.cache.clear()
+            self.cache[text] = ids
+        return ids
+
     def encode(self, text: str) -> bytes:
         """The text's ids, four bytes each, lowest first."""
         if not text:
