@@ -7,17 +7,19 @@ and the filter holds an n-gram of level q as the q items (n-gram, 1) ... (n-gram
 its level is read back by probing for 1, 2, ... until an item is missing, so a
 count is never read too low, and too high with small probability.
 
-The filter holds words, pairs seen at least ``LEAST_PAIR`` times, and for each first
-token the summed counts of its kept pairs. It has ``2**FILTER_BITS`` bits (32 MB, the
-size that every worker gets) at any corpus size: each kind of item is allotted a
-share, and where the corpus has more items than fit at the filter's error rate, the
-least count that is kept rises; all n-grams are counted either way. The filter is
-built by segments: all bits of an n-gram lie in one of ``SEGMENTS`` segments, each of
-which one task fills.
-
-    P(w | h) = c(hw) / (c(h) + A) + (1 - K(h) / (c(h) + A)) * (c(w) + 1) / (N + V + 1)
-
-with K(h) the sum of h's kept pairs; a document's score is the sum of log10 P over
+The filter holds every word and every pair, those seen once too. Its size follows the
+corpus: the items are counted, and it has ``PROBES / ln 2`` bits for each, in segments
+of about ``SEGMENT_BITS``; all bits of an n-gram lie in one segment, which one task
+fills. Inside a segment an n-gram goes by 32 bits of its key (a segment has far fewer
+n-grams than that tells apart). Texts are read in chunks of about ``CHUNK`` tokens. A
+filter of at most ``HELD_BITS`` is sent to the workers, which look up a chunk's distinct
+keys in it; of a larger one no process holds more than a segment: the distinct keys of
+a chunk go to their segments, and the levels come back to the chunk. Both read the same
+bits and give the same scores.
+
+    P(w | h) = c(hw) / (c(h) + A) + A / (c(h) + A) * (c(w) + 1) / (N + V + 1)
+
+(every token is followed by one, so h's pairs sum to c(h)); a document's score is the sum of log10 P over
 its tokens. The add-one base score uses exact counts: those of the most frequent
 words (at most ``FREQUENT``, 16 bytes each) are broadcast, the other words of each
 document are joined with the table of counts.
@@ -42,20 +44,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendstar.llm.common import prepare
+from spendstar.session import scratch_path
 
 END = b"\n"  # no word holds a line break
-FILTER_BITS = 28
-SEGMENTS = 256
-PROBES = 5
+SEGMENT_BITS = 1 << 22
+HELD_BITS = 1 << 30
+PROBES = 8
 BASE = 2.0**0.5
-LEAST_PAIR = 2
 ADDED = 8.0
 FREQUENT = 1 << 19
-# Shares of the filter's items.
-SHARES = {"word": 0.3, "pair": 0.5, "first": 0.2}
-_KIND = {"word": 1, "pair": 2, "first": 3}
+CHUNK = 1 << 19
+_KIND = {"word": 1, "pair": 2}
 MOST_LEVELS = 128
 _FLUSH = 4_000_000
+_DEALT = 1_000_000
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -109,7 +112,6 @@ def pair_keys(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
     before = np.empty_like(h)
     before[1:] = h[:-1]
     before[starts] = np.uint64(_worker_hashes()[END])
-    # the first half names the first token, so sums by first token can be taken from the keys
     return (_mix(before) & ~_LOW) | (_mix(h + _GOLD) >> np.uint64(32))
 
 
@@ -162,131 +164,175 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush(keys)
 
 
-def level(count: Column, least: float) -> Column:
-    """Level of a count that is at least ``least``."""
-    q = 1 + F.floor(F.log(count / least) / math.log(BASE) + 1e-9)
+def level(count: Column) -> Column:
+    """Level of a count that is at least 1."""
+    q = 1 + F.floor(F.log(count) / math.log(BASE) + 1e-9)
     return F.least(q, F.lit(MOST_LEVELS)).cast("int")
 
 
-def _value(q: np.ndarray, least: float) -> np.ndarray:
-    """The count that a level stands for (0: none): the middle of its range, in logarithms."""
-    return np.where(q > 0, np.maximum(least, least * BASE ** (q - 0.75)), 0.0)
+def _values() -> np.ndarray:
+    """The count that each level stands for (0: none): the middle of its whole numbers, in logarithms."""
+    out = np.zeros(MOST_LEVELS + 1)
+    for q in range(1, MOST_LEVELS + 1):
+        low, high = math.ceil(BASE ** (q - 1) - 1e-6), math.ceil(BASE**q - 1e-6) - 1
+        out[q] = math.sqrt(low * high) if low <= high else out[q - 1]
+    return out
 
 
-def capacity() -> int:
-    """Items that the filter takes at half of its bits set."""
-    return int((1 << FILTER_BITS) * math.log(2) / PROBES)
+VALUES = _values()
 
 
-def least_count(counts: DataFrame, column: str, allowed: int, least: int) -> int:
-    """The smallest count >= ``least`` at which the levels of all counts fit ``allowed`` items."""
-    # a bounded histogram over powers of the base
-    rows = (
-        counts.where(F.col(column) >= least)
-        .groupBy(level(F.col(column), 1.0).alias("q"))
-        .agg(F.count("*").alias("n"), F.min(column).alias("lo"))
-        .collect()
-    )
-    found = sorted((r["q"], r["n"], r["lo"]) for r in rows)
-    for i in range(len(found)):
-        if sum(n * (q - found[i][0] + 1) for q, n, _ in found[i:]) <= allowed:
-            return max(least, int(found[i][2]))
-    return int(found[-1][2]) + 1 if found else least
+def segment_of(key: np.ndarray, segments: int) -> np.ndarray:
+    return (((_mix(key ^ _C1) >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)).astype(np.int32)
 
 
-def _positions(key: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Segment (n) and bit places inside it (n, PROBES) of items (key, level)."""
-    bits = np.uint64((1 << FILTER_BITS) // SEGMENTS)
-    z = _mix(_mix(key) + q.astype(np.uint64) * _GOLD)
-    step = _mix(z ^ _C2) | np.uint64(1)
-    places = (z[:, None] + step[:, None] * np.arange(1, PROBES + 1, dtype=np.uint64)) >> np.uint64(20)
-    return segment_of(key), (places % bits).astype(np.int64)
+def _short(key: np.ndarray) -> np.ndarray:
+    """What names an item key inside its segment."""
+    return (key & _LOW).astype(np.uint32)
 
 
-def segment_of(key: np.ndarray) -> np.ndarray:
-    return (_mix(key ^ _C1) >> np.uint64(56)).astype(np.int64) * SEGMENTS // 256
+def _by_segment(key: np.ndarray, segments: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of item keys by segment, and (segment, from, to) of each run in it."""
+    segment = segment_of(key, segments)
+    order = np.argsort(segment, kind="stable")
+    numbers, cuts = np.unique(segment[order], return_index=True)
+    return order, list(zip(numbers.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(key)], strict=True))
 
 
-def typed_key(key: np.ndarray, kind: str) -> np.ndarray:
-    """Item key of a word hash, pair key or first-token key of one of the kinds."""
-    return _mix(key + np.uint64(_KIND[kind]) * _GOLD)
+def _item(short: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two hashes of the items (short key, q) that their bit places follow from."""
+    z = _mix(_mix(short.astype(np.uint64)) + np.uint64(q) * _GOLD)
+    return z, _mix(z ^ _C2) | np.uint64(1)
 
 
-@dataclass
-class Filter:
-    """The filter's bytes (segments one after another) and the least counts it holds."""
+def _place(z: np.ndarray, step: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """Bit place, inside its segment, of probe ``k``."""
+    return (((z + step * np.uint64(k)) >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
 
-    data: np.ndarray
-    least: dict[str, int]
 
-    def levels(self, key: np.ndarray) -> np.ndarray:
-        """Levels of item keys, by probing 1, 2, ... until an item is missing."""
-        out = np.zeros(len(key), np.int64)
-        size = (1 << FILTER_BITS) // SEGMENTS
-        alive = np.arange(len(key))
+def typed_key(key: np.ndarray, kind: str) -> np.ndarray:
+    """Item key of a word hash or pair key."""
+    return _mix(key + np.uint64(_KIND[kind]) * _GOLD)
+
+
+def read_levels(data: np.ndarray, bits: int, short: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """Levels of items (short keys) of one segment, or of segments that start at ``start``, by probing 1, 2, ... until an item is missing."""
+    out = np.zeros(len(short), np.uint8)
+    alive = np.arange(len(short))
+    with np.errstate(over="ignore"):
         for q in range(1, MOST_LEVELS + 1):
             if not len(alive):
                 break
-            seg, place = _positions(key[alive], np.full(len(alive), q))
-            at = seg[:, None] * size + place
+            z, step = _item(short[alive], q)
             hit = np.arange(len(alive))
-            for k in range(PROBES):  # an item goes on only while its bits are set
-                bit = at[hit, k]
-                hit = hit[(self.data[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
+            for k in range(1, PROBES + 1):  # an item goes on only while its bits are set
+                bit = _place(z[hit], step[hit], k, bits)
+                if start is not None:
+                    bit += start[alive[hit]]
+                hit = hit[(data[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
             alive = alive[hit]
             out[alive] = q
+    return out
+
+
+@dataclass
+class Filter:
+    """The filter as rows (segment, data) of ``segments`` segments with ``bits`` bits each."""
+
+    rows: DataFrame
+    segments: int
+    bits: int
+
+    def held(self) -> np.ndarray:
+        """All segments, one after another."""
+        size = self.bits // 8
+        out = np.zeros(self.segments * size, np.uint8)
+        for r in self.rows.toLocalIterator():
+            out[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["data"], np.uint8)
         return out
 
     def counts(self, key: np.ndarray, kind: str) -> np.ndarray:
+        """Counts of a few n-grams, read on the driver, segment by segment."""
         with np.errstate(over="ignore"):
-            return _value(self.levels(typed_key(key, kind)), self.least[kind])
-
-
-def _fill(rows: pd.DataFrame) -> pd.DataFrame:
-    """The bits of one segment from its items (key, q)."""
-    bits = np.zeros((1 << FILTER_BITS) // SEGMENTS, bool)
-    key, q = rows["key"].to_numpy().view(np.uint64), rows["q"].to_numpy()
-    with np.errstate(over="ignore"):
-        for k in range(1, int(q.max()) + 1):
-            part = key[q >= k]
-            _, place = _positions(part, np.full(len(part), k))
-            bits[place.reshape(-1)] = True
-    packed = np.packbits(bits, bitorder="little").tobytes()
-    return pd.DataFrame({"segment": [int(rows["segment"].iloc[0])], "data": [packed]})
+            typed = typed_key(key, kind)
+            segment = segment_of(typed, self.segments)
+        out = np.zeros(len(key))
+        for r in self.rows.where(F.col("segment").isin(np.unique(segment).tolist())).toLocalIterator():
+            at = np.flatnonzero(segment == r["segment"])
+            out[at] = VALUES[read_levels(np.frombuffer(r["data"], np.uint8), self.bits, _short(typed[at]))]
+        return out
 
 
 def build_filter(words: DataFrame, pairs: DataFrame) -> Filter:
     """The filter of all word counts (word hash ``h``, ``c``) and pair counts (``pair``, ``c``)."""
-    firsts = pairs.groupBy(F.shiftrightunsigned("pair", 32).alias("first")).agg(F.sum("c").alias("c")).checkpoint()
-    tables = {"word": (words, "h", 1), "pair": (pairs, "pair", LEAST_PAIR), "first": (firsts, "first", 1)}
-    least, items = {}, None
-    for kind, (df, key, start) in tables.items():
-        least[kind] = least_count(df, "c", int(capacity() * SHARES[kind]), start)
-        part = df.where(F.col("c") >= least[kind]).select(
-            F.col(key).alias("key"),
-            F.lit(_KIND[kind]).alias("kind"),
-            level(F.col("c"), float(least[kind])).alias("q"),
-        )
+    items = None
+    for kind, df, key in (("word", words, "h"), ("pair", pairs, "pair")):
+        part = df.select(F.col(key).alias("key"), F.lit(_KIND[kind]).alias("kind"), level(F.col("c")).alias("q"))
         items = part if items is None else items.unionByName(part)
+    wanted = (items.agg(F.sum("q")).first()[0] or 0) * PROBES / math.log(2)
+    segments = max(1, math.ceil(wanted / SEGMENT_BITS))
+    bits = 8 * max(8, math.ceil(wanted / segments / 8))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Short keys and levels of many items at a time, by segment."""
+
+        def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            key, q = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, runs = _by_segment(key, segments)
+            short, q = _short(key)[order], q[order]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[0] for r in runs], pa.int32()),
+                    pa.array([short[lo:hi].tobytes() for _, lo, hi in runs], pa.binary()),
+                    pa.array([q[lo:hi].tobytes() for _, lo, hi in runs], pa.binary()),
+                ],
+                names=["segment", "short", "q"],
+            )
 
-    @F.pandas_udf("key long, segment int")
-    def place(key: pd.Series, kind: pd.Series) -> pd.DataFrame:
-        with np.errstate(over="ignore"):
-            k = _mix(key.to_numpy().view(np.uint64) + kind.to_numpy().astype(np.uint64) * _GOLD)
-            return pd.DataFrame({"key": k.view(np.int64), "segment": segment_of(k).astype(np.int32)})
-
-    filled = (
-        items.select(place("key", "kind").alias("p"), "q")
-        .select("p.key", "p.segment", "q")
-        .groupBy("segment")
-        .applyInPandas(_fill, "segment int, data binary")
-        .collect()  # SEGMENTS rows, 2**FILTER_BITS bits in all
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
+        for batch in batches:
+            key, kind, q = (c.to_numpy() for c in batch.columns)
+            with np.errstate(over="ignore"):
+                key = _mix(key.view(np.uint64) + kind.astype(np.uint64) * _GOLD)
+            held.append((key, q.astype(np.uint8)))
+            rows += len(key)
+            if rows > _DEALT:
+                yield flush(held)
+                held, rows = [], 0
+        if rows:
+            yield flush(held)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bits of each segment; its items come one run after another."""
+
+        def done(segment: int, filled: np.ndarray) -> pa.RecordBatch:
+            packed = np.packbits(filled, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([packed], pa.binary())], names=["segment", "data"])
+
+        held, filled = -1, np.zeros(0, bool)
+        for batch in batches:
+            for segment, short, q in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if segment != held:
+                    if held >= 0:
+                        yield done(held, filled)
+                    held, filled = segment, np.zeros(bits, bool)
+                short, q = np.frombuffer(short, np.uint32), np.frombuffer(q, np.uint8)
+                with np.errstate(over="ignore"):
+                    for least in range(1, int(q.max()) + 1):
+                        z, step = _item(short[q >= least], least)
+                        for k in range(1, PROBES + 1):
+                            filled[_place(z, step, k, bits)] = True
+        if held >= 0:
+            yield done(held, filled)
+
+    rows = (
+        items.mapInArrow(deal, "segment int, short binary, q binary")
+        .repartition("segment")
+        .sortWithinPartitions("segment")
+        .mapInArrow(fill, "segment int, data binary")
     )
-    data = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    size = len(data) // SEGMENTS
-    for r in filled:
-        data[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["data"], np.uint8)
-    return Filter(data, least)
+    return Filter(_written(rows, "lm-filter"), segments, bits)
 
 
 @dataclass
@@ -296,34 +342,47 @@ class Model:
     words: DataFrame  # word, c, h
     total: int
     distinct: int
-    filter: object  # broadcast Filter
+    filter: Filter
     frequent: object  # broadcast (sorted hashes, counts)
     frequent_from: int
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from Parquet in the shared folder (a checkpoint's rows are several times larger).
+
+    The shuffles that led to it are not needed again: Spark may remove them at once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.parquet(path)
+
+
 def train(texts: DataFrame) -> Model:
     """Count the texts of a DataFrame with a ``text`` column."""
     spark: SparkSession = texts.sparkSession
     prepare(spark)
     text = texts.select(F.coalesce(texts["text"], F.lit("")).alias("text"))
-    words = (
+    words = _written(
         text.mapInArrow(_count_words, "word binary, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("c"))
-        .withColumn("h", F.xxhash64("word"))
-        .checkpoint()
+        .withColumn("h", F.xxhash64("word")),
+        "lm-words",
     )
-    pairs = (
-        text.mapInArrow(_count_pairs, "pair long, n long")
-        .groupBy("pair")
-        .agg(F.sum("n").alias("c"))
-        .where(F.col("c") >= LEAST_PAIR)
-        .checkpoint()
+    pairs = _written(
+        text.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("c")),
+        "lm-pairs",
     )
     sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     # the smallest count from which words number at most FREQUENT
     cut, seen = 1, 0
-    for r in sorted(words.groupBy(level(F.col("c"), 1.0).alias("q")).agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).collect(), key=lambda r: -r["q"]):
+    for r in sorted(words.groupBy(level(F.col("c")).alias("q")).agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).collect(), key=lambda r: -r["q"]):
         if seen + r["n"] > FREQUENT:
             cut = r["hi"] + 1
             break
@@ -337,81 +396,187 @@ def train(texts: DataFrame) -> Model:
         words,
         int(sums["n"]),
         int(sums["v"]),
-        sc.broadcast(build_filter(words, pairs)),
+        build_filter(words, pairs),
         sc.broadcast((h[order], c[order])),
         int(cut),
     )
 
 
+_ROWS = "doc_id long, n_tokens long, known long, base double, rare array<binary>"
+_COLUMNS = [f.split() for f in _ROWS.split(", ")]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.astype(np.int32).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.int32)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, n_tokens, n_known, train_tokens, base_score, score."""
     total, distinct = model.total, model.distinct
-    sent_filter, sent_frequent = model.filter, model.frequent
+    sent_frequent = model.frequent
+    segments, bits = model.filter.segments, model.filter.bits
     scale = float(total + distinct + 1)
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Filter = sent_filter.value
+    def read(ids: list, starts: list[int], words: list[bytes]) -> tuple[list[pa.Array], np.ndarray, np.ndarray, np.ndarray, int]:
+        """A chunk's documents without their scores, item keys (words, then pairs), sides and pair of each token."""
         keys, counts = sent_frequent.value
+        start = np.array(starts)
+        ends = np.append(start[1:], len(words))
+        h = _hashed(words)
+        with np.errstate(over="ignore"):
+            word, back = np.unique(h, return_inverse=True)
+            # a token's probability follows from its pair: computed once for each
+            pair, first_at, of_pair = np.unique(pair_keys(h, start), return_index=True, return_inverse=True)
+            asked = np.concatenate([typed_key(word, "word"), typed_key(pair, "pair")])
+        # the token before: the one to the left, for a text's first token an end
+        left = np.concatenate([back[-1:], back[:-1]])
+        left[start] = back[-1]
+        at = np.searchsorted(keys, h)
+        at[at == len(keys)] = 0
+        known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+        exact = np.where(known, counts[at] if len(keys) else 0, 0)
+        base = np.where(known, np.log10((exact + 1) / scale), 0.0)
+        rare_at = np.flatnonzero(~known)
+        rare = [words[i] for i in rare_at.tolist()]
+        cut = np.searchsorted(rare_at, np.append(start, len(words)))
+        fields = [
+            pa.array(ids, pa.int64()),
+            pa.array(ends - start, pa.int64()),
+            pa.array(np.add.reduceat(known.astype(np.int64), start)),
+            pa.array(np.add.reduceat(base, start)),
+            pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(rare, pa.binary())),
+        ]
+        return fields, asked, np.concatenate([left[first_at], back[first_at]]), of_pair, len(word)
+
+    def sums(found: np.ndarray, sides: np.ndarray, of_pair: np.ndarray, n_words: int, lengths: np.ndarray) -> np.ndarray:
+        """Scores of a chunk's documents from the counts of its words and pairs."""
+        of_word, c_pair = found[:n_words], found[n_words:]
+        c_before, c_word = of_word[sides[: len(c_pair)]], of_word[sides[len(c_pair) :]]
+        # no pair is seen more often than its first token
+        c_pair = np.minimum(c_pair, c_before)
+        p = c_pair / (c_before + ADDED) + ADDED / (c_before + ADDED) * (c_word + 1) / scale
+        logs = np.log10(np.minimum(p, 1.0))[of_pair]
+        return np.add.reduceat(logs, np.cumsum(lengths) - lengths)
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        ids: list = []
+        starts: list[int] = []
+        words: list[bytes] = []
         for batch in batches:
-            words: list[bytes] = []
-            starts = []
-            for text in _texts(batch, 1):
+            for doc_id, text in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
+                ids.append(doc_id)
                 starts.append(len(words))
                 words.extend(tokens(text))
-            if not words:
-                continue
-            start = np.array(starts)
+                if len(words) >= CHUNK:
+                    yield read(ids, starts, words)
+                    ids, starts, words = [], [], []
+        if words:
+            yield read(ids, starts, words)
+
+    def rate_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data = sent_filter.value
+        for fields, asked, sides, of_pair, n_words in chunks(batches):
             with np.errstate(over="ignore"):
-                h = _hashed(words)
-                pair = pair_keys(h, start)
-                c_pair = held.counts(pair, "pair")
-                # words repeat: each is looked up once, as itself and as a first token
-                distinct, back = np.unique(h, return_inverse=True)
-                of_word = held.counts(distinct, "word")
-                of_first = held.counts(_mix(distinct) >> np.uint64(32), "first")
-            c_word = of_word[back]
-            # the token before: the one to the left, for a text's first token an end
-            left = np.concatenate([back[-1:], back[:-1]])
-            left[start] = back[-1]
-            c_before, kept = of_word[left], of_first[left]
-            # a first token is seen at least as often as its kept pairs
-            c_before = np.maximum(c_before, kept) + ADDED
-            c_pair = np.minimum(c_pair, kept)
-            p = c_pair / c_before + (1 - kept / c_before) * (c_word + 1) / scale
-            logs = np.log10(np.minimum(p, 1.0))
-            at = np.searchsorted(keys, h)
-            at[at == len(keys)] = 0
-            known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-            exact = np.where(known, counts[at] if len(keys) else 0, 0)
-            base = np.where(known, np.log10((exact + 1) / scale), 0.0)
-            ends = np.append(start[1:], len(words))
-            rare_at = np.flatnonzero(~known)
-            rare = [words[i] for i in rare_at.tolist()]
-            cut = np.searchsorted(rare_at, np.append(start, len(words)))
+                at = segment_of(asked, segments).astype(np.int64) * bits
+            found = VALUES[read_levels(data, bits, _short(asked), at)]
+            score = sums(found, sides, of_pair, n_words, fields[1].to_numpy())
+            yield pa.RecordBatch.from_arrays([*fields, pa.array(score)], names=[*[n for n, _ in _COLUMNS], "score"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row a chunk: the documents, and the distinct keys to look up, by segment."""
+
+        def one(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        for fields, asked, sides, of_pair, n_words in chunks(batches):
+            with np.errstate(over="ignore"):
+                order, runs = _by_segment(asked, segments)
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order))
+            short = _short(asked)[order]
+            asks = [pa.array([r[0] for r in runs], pa.int32()), pa.array([short[lo:hi].tobytes() for _, lo, hi in runs], pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    pa.array(ends - start),
-                    pa.array(np.add.reduceat(known.astype(np.int64), start)),
-                    pa.array(np.add.reduceat(base, start)),
-                    pa.array(np.add.reduceat(logs, start)),
-                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(rare, pa.binary())),
+                    one(pa.StructArray.from_arrays(fields, names=[n for n, _ in _COLUMNS])),
+                    one(pa.StructArray.from_arrays(asks, names=["segment", "data"])),
+                    pa.array([n_words]),
+                    pa.array([len(asked) - n_words]),
+                    pa.array([_packed(of_pair)], pa.binary()),
+                    pa.array([_packed(sides)], pa.binary()),
+                    pa.array([_packed(place)], pa.binary()),
                 ],
-                names=["doc_id", "n_tokens", "known", "base", "score", "rare"],
+                names=["docs", "asks", "words", "pairs", "of_pair", "sides", "place"],
             )
 
-    rated = (
-        docs.select(
-            docs["doc_id"].cast("long").alias("doc_id"),
-            F.coalesce(docs["text"], F.lit("")).alias("text"),
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Levels for the keys of each chunk; a segment's bits come before what is asked of it."""
+        held, data = -1, None
+        for batch in batches:
+            out: list[tuple[int, int, bytes]] = []
+            for segment, number, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if segment != held:
+                    held, data = segment, np.zeros(bits // 8, np.uint8)
+                if number < 0:
+                    data = np.frombuffer(blob, np.uint8)
+                else:
+                    out.append((number, segment, read_levels(data, bits, np.frombuffer(blob, np.uint32)).tobytes()))
+            if out:
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary()), strict=True)],
+                    names=["chunk", "segment", "data"],
+                )
+
+    def rate(asked: pa.Table, answers: pa.Table) -> pa.Table:
+        row = {n: asked.column(n)[0].as_py() for n in ("words", "pairs", "of_pair", "sides", "place")}
+        docs = asked.column("docs").combine_chunks()
+        docs = (docs.chunk(0) if isinstance(docs, pa.ChunkedArray) else docs).flatten()
+        lengths = docs.field("n_tokens").to_numpy()
+        n_words, n_pairs = row["words"], row["pairs"]
+        by_segment = np.argsort(answers.column("segment").to_numpy())
+        blobs = answers.column("data").to_pylist()
+        found = VALUES[np.frombuffer(b"".join([blobs[i] for i in by_segment.tolist()]), np.uint8)]
+        found = found[_unpacked(row["place"], n_words + n_pairs)]
+        of_pair = _unpacked(row["of_pair"], int(lengths.sum()))
+        scores = sums(found, _unpacked(row["sides"], 2 * n_pairs), of_pair, n_words, lengths)
+        return pa.table([*docs.flatten(), pa.array(scores)], names=[*[n for n, _ in _COLUMNS], "score"])
+
+    texts = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"),
+        F.coalesce(docs["text"], F.lit("")).alias("text"),
+    )
+    if segments * bits <= HELD_BITS:
+        sent_filter = docs.sparkSession.sparkContext.broadcast(model.filter.held())
+        rated = texts.mapInArrow(rate_held, f"{_ROWS}, score double")
+    else:
+        asked = (
+            texts.mapInArrow(
+                ask,
+                f"docs array<struct<{', '.join(f'{n}: {t}' for n, t in _COLUMNS)}>>, "
+                "asks array<struct<segment: int, data: binary>>, "
+                "words long, pairs long, of_pair binary, sides binary, place binary",
+            )
+            .withColumn("chunk", F.monotonically_increasing_id())
+            .checkpoint()
         )
-        .mapInArrow(
-            rate,
-            "doc_id long, n_tokens long, known long, base double, score double, rare array<binary>",
+        answers = (
+            model.filter.rows.select("segment", F.lit(-1).cast("long").alias("chunk"), "data")
+            .unionByName(asked.select("chunk", F.inline("asks")))
+            .repartition("segment")
+            .sortWithinPartitions("segment", "chunk")
+            .mapInArrow(look_up, "chunk long, segment int, data binary")
         )
-        .withColumn("row", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+        rated = (
+            asked.drop("asks")
+            .groupBy("chunk")
+            .cogroup(answers.groupBy("chunk"))
+            .applyInArrow(rate, f"{_ROWS}, score double")
+        )
+    rated = rated.withColumn("row", F.monotonically_increasing_id()).checkpoint()
     # words beyond the broadcast ones: joined with their exact counts, summed by row
     rare = (
         rated.select("row", F.explode("rare").alias("word"))

@@ -306,6 +306,24 @@ def test_filter_levels_are_never_too_low(spark):
     assert np.mean(absent > 0) < 0.01
 
 
+def test_pairs_seen_once_are_scored(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SEGMENT_BITS", 4096, raising=False)
+    monkeypatch.setattr(lm, "CHUNK", 300, raising=False)
+    docs = spark.createDataFrame([(i, f"x{i} y{i} z{i}") for i in range(500)], "doc_id long, text string")
+    model = lm.train(docs)
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, model).collect()}
+    # the same scores where no worker holds the filter
+    monkeypatch.setattr(lm, "HELD_BITS", 0, raising=False)
+    assert got == {r["doc_id"]: r["score"] for r in lm.score(docs, model).collect()}
+    assert len(got) == 500
+    scale = 2000 + 1501 + 1
+    seldom, often = 8 / 9, 8 / 508
+    each = [1 / 508 + often * 2 / scale, *[1 / 9 + seldom * 2 / scale] * 2, 1 / 9 + seldom * 501 / scale]
+    true = sum(math.log10(p) for p in each)
+    assert np.mean([abs(x - true) < 0.2 for x in got.values()]) > 0.95
+    assert model.filter.segments > 1  # the scores came from a filter in several segments
+
+
 def test_lm_edges(edge, empty, clashing):
     model = lm.train(edge)
     rows = lm.score(clashing, model).collect()
