@@ -16,12 +16,18 @@ from spendstar.llm import bpe, langid, near_dedup, packing, quality
 from spendstar.llm.common import prepare, table
 from spendstar.session import scratch_path
 
-# A text whose best language has less of its letters than this is rejected.
+# A text whose best language has less of its letters than this is rejected; with more
+# than four languages, each has less, and so the bound (see least_language_score).
 LEAST_LANGUAGE_SCORE = 0.4
 SEQUENCE = 2048
 END_ID = 1
 
 
+def least_language_score(languages: int) -> float:
+    """The bound for a number of learned languages: 0.4 up to four, then by the root of their number."""
+    return LEAST_LANGUAGE_SCORE * min(1.0, (4 / max(languages, 1)) ** 0.5)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: no text, no letter, or no clear winner."""
     prepare(spark)
@@ -32,7 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     )
     kept = rows.where(
         (F.col("found.lang_pred") != langid.UNDETERMINED)
-        & (F.col("found.score") >= LEAST_LANGUAGE_SCORE)
+        & (F.col("found.score") >= least_language_score(len(model.languages)))
     )
     return kept.select("row.*")
 

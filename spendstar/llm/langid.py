@@ -9,10 +9,10 @@ the candidate state ``tanh``.
 
 Training is backpropagation through time in numpy on the driver, over windows of
 ``SEGMENT`` bytes at pseudo-random places of a sample of the training documents:
-at most about ``SAMPLE_PER_LANGUAGE`` windows for each of at most ``MAX_LANGUAGES``
-languages (the most frequent; both are parameters), so the driver holds some
-megabytes at any corpus size. The network has a few thousand weights, which go
-to the workers within the function.
+about ``SAMPLE_PER_LANGUAGE`` windows (a parameter), and never more than twice as
+many, for each language of the training rows, so the driver holds some 150 KB a
+language at any corpus size. States and steps grow with the number of languages. The
+weights, a few thousand with four languages, go to the workers within the function.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0;
 with no training rows every text is ``und``; NULL languages are not learned from;
@@ -22,6 +22,7 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,16 +30,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendstar.llm.common import prepare
 
-HIDDEN = 8
+HIDDEN = 8  # with up to four languages
 SEGMENT = 96
 SAMPLE_PER_LANGUAGE = 1500
-MAX_LANGUAGES = 64
-STEPS = 400
+STEPS = 400  # with up to four languages
 BATCH = 96
 LEARNING_RATE = 0.03
 BLOCK = 4096  # segments that go through the network at once
@@ -57,22 +57,33 @@ class Model:
     weights: dict[str, np.ndarray]
 
 
+def hidden_states(k: int) -> int:
+    """States in each direction for ``k`` languages."""
+    return HIDDEN * max(1, math.ceil(math.log2(max(k, 1)) / 2))
+
+
+def training_steps(k: int) -> int:
+    return math.ceil(STEPS * max(1.0, math.sqrt(k / 4)))
+
+
 def _start(k: int, seed: int) -> dict[str, np.ndarray]:
+    hidden = hidden_states(k)
     rng = np.random.default_rng(seed)
     w: dict[str, np.ndarray] = {}
     for d in "fb":
-        w["x" + d] = rng.normal(0, 0.5, (256, 3 * HIDDEN))
-        w["g" + d] = rng.normal(0, 0.3, (HIDDEN, 2 * HIDDEN))
-        w["c" + d] = rng.normal(0, 0.3, (HIDDEN, HIDDEN))
-    w["out"] = rng.normal(0, 0.3, (2 * HIDDEN, k))
+        w["x" + d] = rng.normal(0, 0.5, (256, 3 * hidden))
+        w["g" + d] = rng.normal(0, 0.3, (hidden, 2 * hidden))
+        w["c" + d] = rng.normal(0, 0.3, (hidden, hidden))
+    w["out"] = rng.normal(0, 0.3, (2 * hidden, k))
     w["bias"] = np.zeros(k)
     return {n: v.astype(np.float32) for n, v in w.items()}
 
 
 def _scaled(w: dict, d: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Input table (3h, 256) and recurrent weights, transposed, with the gates' scale folded in."""
+    hidden = len(w["g" + d])
     table = np.ascontiguousarray(w["x" + d].T)
-    table[: 2 * HIDDEN] = table[: 2 * HIDDEN] * 0.25 + 0.5
+    table[: 2 * hidden] = table[: 2 * hidden] * 0.25 + 0.5
     gates = np.ascontiguousarray(w["g" + d].T) * np.float32(0.25)
     return table, gates, np.ascontiguousarray(w["c" + d].T)
 
@@ -83,16 +94,17 @@ def _states(w: dict, d: str, seg: np.ndarray) -> Iterator[tuple[int, np.ndarray,
     States are (h, rows).
     """
     table, u_gates, u_cand = _scaled(w, d)
+    hidden = len(w["g" + d])
     steps, rows = seg.shape
-    h = np.zeros((HIDDEN, rows), np.float32)
+    h = np.zeros((hidden, rows), np.float32)
     for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
         x = table.take(seg[t], axis=1)
         gates = u_gates @ h
-        gates += x[: 2 * HIDDEN]
+        gates += x[: 2 * hidden]
         np.clip(gates, 0, 1, out=gates)
-        update, reset = gates[:HIDDEN], gates[HIDDEN:]
+        update, reset = gates[:hidden], gates[hidden:]
         cand = u_cand @ (reset * h)
-        cand += x[2 * HIDDEN :]
+        cand += x[2 * hidden :]
         np.tanh(cand, out=cand)
         new = cand - h
         new *= update
@@ -111,6 +123,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def _gradients(w: dict, seg: np.ndarray, pooled: np.ndarray, target: np.ndarray):
     """Loss and gradients: cross-entropy at every pooled position, through time."""
+    hidden = len(w["gf"])
     steps, rows = seg.shape
     runs = {d: sorted(_states(w, d, seg), key=lambda s: s[0]) for d in "fb"}
     # (2h, positions, rows)
@@ -128,26 +141,26 @@ def _gradients(w: dict, seg: np.ndarray, pooled: np.ndarray, target: np.ndarray)
     values, starts = np.unique(seg.reshape(-1)[order], return_index=True)
     for k, d in enumerate("fb"):
         gg, gc = np.zeros_like(w["g" + d]), np.zeros_like(w["c" + d])
-        dh = np.zeros((HIDDEN, rows), np.float32)
-        dx = np.empty((steps, rows, 3 * HIDDEN), np.float32)
+        dh = np.zeros((hidden, rows), np.float32)
+        dx = np.empty((steps, rows, 3 * hidden), np.float32)
         for t, h, _, (gates, cand) in reversed(runs[d]) if d == "f" else runs[d]:
-            dh = dh + dboth[k * HIDDEN : (k + 1) * HIDDEN, t]
-            update, reset = gates[:HIDDEN], gates[HIDDEN:]
+            dh = dh + dboth[k * hidden : (k + 1) * hidden, t]
+            update, reset = gates[:hidden], gates[hidden:]
             dcand = dh * update * (1 - cand * cand)
             dreset_h = w["c" + d] @ dcand
             dgates = np.concatenate([dh * (cand - h), dreset_h * h])
             dgates *= ((gates > 0) & (gates < 1)) * np.float32(0.25)
             gc += (reset * h) @ dcand.T
             gg += h @ dgates.T
-            dx[t, :, : 2 * HIDDEN], dx[t, :, 2 * HIDDEN :] = dgates.T, dcand.T
+            dx[t, :, : 2 * hidden], dx[t, :, 2 * hidden :] = dgates.T, dcand.T
             dh = dh * (1 - update) + dreset_h * reset + w["g" + d] @ dgates
         gx = np.zeros_like(w["x" + d])
-        gx[values] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
+        gx[values] = np.add.reduceat(dx.reshape(-1, 3 * hidden)[order], starts, axis=0)
         grad |= {"x" + d: gx, "g" + d: gg, "c" + d: gc}
     return loss, grad
 
 
-def train(windows: list[bytes], labels: list[str], steps: int = STEPS, seed: int = 7) -> Model:
+def train(windows: list[bytes], labels: list[str], steps: int | None = None, seed: int = 7) -> Model:
     """Fit the network with Adam on windows of at most ``SEGMENT`` bytes."""
     languages = sorted(set(labels))
     if not languages:
@@ -155,7 +168,9 @@ def train(windows: list[bytes], labels: list[str], steps: int = STEPS, seed: int
     seg = np.full((len(windows), SEGMENT), 32, np.uint8)
     for i, w in enumerate(windows):
         seg[i, : min(len(w), SEGMENT)] = np.frombuffer(w[:SEGMENT], np.uint8)
-    target = np.array([languages.index(x) for x in labels])
+    number = {x: k for k, x in enumerate(languages)}
+    target = np.array([number[x] for x in labels])
+    steps = training_steps(len(languages)) if steps is None else steps
     by_language = [np.flatnonzero(target == k) for k in range(len(languages))]
     rng = np.random.default_rng(seed)
     w = _start(len(languages), seed)
@@ -197,10 +212,11 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
     if not k or not lettered:
         return names, out
     w = model.weights
+    hidden = len(w["gf"])
     sums = np.zeros((len(lettered), k))
     seg, owner = _segments([texts[i].encode("utf-8", "replace") for i in lettered])
     bias = w["bias"][:, None]
-    out_f, out_b = np.ascontiguousarray(w["out"].T[:, :HIDDEN]), np.ascontiguousarray(w["out"].T[:, HIDDEN:])
+    out_f, out_b = np.ascontiguousarray(w["out"].T[:, :hidden]), np.ascontiguousarray(w["out"].T[:, hidden:])
     for lo in range(0, len(seg), BLOCK):
         part = np.ascontiguousarray(seg[lo : lo + BLOCK].T)
         forward = [out_f @ state for _, _, state, _ in _states(w, "f", part)]
@@ -229,22 +245,20 @@ def fit(docs: DataFrame, trained_on: Column, per_language: int = SAMPLE_PER_LANG
     """
     prepare(docs.sparkSession)
     usable = docs.where(trained_on & docs["lang"].isNotNull() & docs["text"].isNotNull())
-    counts = (
-        usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    )
-    if not counts:
-        return Model([], {})
-    mark = F.pmod(F.xxhash64(F.coalesce(docs["doc_id"], F.lit(0)), F.lit("sample")), F.lit(1 << 30))
-    rate = F.lit(0)
-    for r in counts:
-        share = min(1.0, per_language / r["count"])
-        rate = F.when(F.col("lang") == r["lang"], int(share * (1 << 30))).otherwise(rate)
+    share = F.least(F.lit(1.0), per_language / F.col("count"))
+    rates = usable.groupBy("lang").count().select("lang", (share * (1 << 30)).cast("long").alias("rate"))
+    # rows without an id are told apart by their text
+    name = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    mark = F.pmod(F.xxhash64(name, F.lit("sample")), F.lit(1 << 30))
     place = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SEGMENT, F.lit(1))) + 1
     rows = (
-        usable.where(mark < rate)
-        .select("doc_id", "lang", F.substring("text", place.cast("int"), F.lit(SEGMENT)).alias("w"))
-        .orderBy("doc_id", "w")
-        .limit(2 * per_language * len(counts))
+        usable.select("doc_id", "lang", "text", mark.alias("mark"))
+        .join(F.broadcast(rates), "lang")
+        .where(F.col("mark") < F.col("rate"))
+        .select("doc_id", "lang", "mark", F.substring("text", place.cast("int"), F.lit(SEGMENT)).alias("w"))
+        .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id", "w")))
+        .where(F.col("n") <= 2 * per_language)
+        .orderBy("doc_id", "w", "lang")
         .collect()
     )
     return train([r["w"].encode("utf-8", "replace") for r in rows], [r["lang"] for r in rows])

@@ -412,6 +412,26 @@ def test_language_on_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in rows) and len(rows) == len(truth)
 
 
+def test_every_language_is_learned(spark):
+    """70 languages, each with its own words: all are predicted, none is rejected for their number."""
+    rng = np.random.default_rng(4)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    rows = []
+    for k in range(70):
+        own = ["".join(rng.choice(letters, 5)) for _ in range(3)]
+        for i in range(40 if k < 64 else 20):
+            rows.append((len(rows), " ".join(rng.choice(own, 60)), f"l{k:02d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.lit(True))
+    assert model.languages == sorted({r[2] for r in rows})
+    names, score = langid.predict(model, [r[1] for r in rows])
+    right = np.array([n == r[2] for n, r in zip(names, rows, strict=True)])
+    rare = np.array([r[2] >= "l64" for r in rows])
+    assert right.mean() > 0.95 and right[rare].mean() > 0.9
+    assert np.mean(score >= corpus_pipeline.least_language_score(70)) > 0.99
+    assert corpus_pipeline.least_language_score(4) == 0.4
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(3)
     w = {k: v.astype(np.float64) for k, v in langid._start(3, 1).items()}
