@@ -2,8 +2,9 @@
 
 A document's ids (with an end id) are cut into whole sequences of ``capacity`` ids
 and a rest. The rests are packed as a cutting-stock problem over their length
-histogram: lengths are rounded up to ``GRAIN`` ids, so there are at most
-``capacity / GRAIN`` classes however many documents there are. The linear program
+histogram: rests of up to ``FINE`` ids are classes by their exact length, longer ones
+are rounded up to ``GRAIN`` ids, so there are at most ``FINE + capacity / GRAIN``
+classes however many documents there are. The linear program
 over patterns (how many rests of each class share a sequence) starts from
 first-fit decreasing; a knapsack dynamic program over the current prices finds the
 pattern that lowers the cost most, until none does. The patterns' numbers are
@@ -36,6 +37,7 @@ from spendstar.llm import bpe
 from spendstar.llm.common import prepare, shuffle_parts
 
 GRAIN = 8
+FINE = 256
 CACHE_LIMIT = 600_000
 ROUNDS = 3_000
 
@@ -231,12 +233,15 @@ def pack(
         "*",
         whole.alias("__whole"),
         rest.alias("__rest"),
-        F.ceil(rest / GRAIN).cast("int").alias("__class"),
+        F.when(rest <= FINE, rest)
+        .otherwise(F.least(F.ceil(rest / GRAIN) * GRAIN, F.lit(capacity)))
+        .cast("int")
+        .alias("__class"),
         # spreads a class; equal rows may meet, which is harmless
         F.pmod(F.xxhash64("doc_id", "crcs"), F.lit(parts)).alias("__part"),
     )
     histogram = {r["__class"]: r["count"] for r in sized.where("__rest > 0").groupBy("__class").count().collect()}
-    plan = plan_sequences(histogram, capacity // GRAIN)
+    plan = plan_sequences(histogram, capacity)
 
     rows, taken, first = [], dict.fromkeys(histogram, 0), 0
     for _, counts, times in plan:

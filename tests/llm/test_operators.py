@@ -185,6 +185,19 @@ def test_packing_edges(edge, empty, clashing):
     assert all(zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] for r in kept)
 
 
+def test_short_and_empty_texts_fill_their_sequences(spark):
+    empty = spark.createDataFrame([(i, None if i % 2 else "") for i in range(4096)], "doc_id long, text string")
+    rows = packing.pack(empty, BPE).collect()
+    assert len(rows) == 4096 and len({r["sequence_id"] for r in rows}) == 2
+    short = spark.createDataFrame([(i, " ".join(["word"] * (i % 40))) for i in range(4000)], "doc_id long, text string")
+    rows = packing.pack(short, BPE).collect()
+    used = Counter()
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 2048 and {r["doc_id"] for r in rows} == set(range(4000))
+    assert len(used) <= 1.01 * sum(used.values()) / 2048 + 1
+
+
 def test_column_generation_is_near_the_bound():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 257, 40_000)
