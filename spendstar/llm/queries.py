@@ -7,12 +7,14 @@ express the result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, pieces, quality, sharding, token_counts
+from spendstar.llm import bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, periodic, pieces, quality, sharding, token_counts
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
@@ -111,6 +113,62 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
 
 
+def repeat_tail(doc_id: int, text: str) -> str:
+    """The text's words, of which those from a place on repeat the first of them."""
+    words = text.encode("utf-8", "replace").split()
+    if not words:
+        return text
+    g, n = zlib.crc32(str(doc_id).encode()) // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    unit = words[a : a + p]
+    tail = (unit * (-(-(n - a) // p)))[: n - a]
+    return b" ".join(words[:a] + tail).decode()
+
+
+def with_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which a tenth of the documents, by their id, have a repeated tail."""
+
+    @F.pandas_udf("string")
+    def edit(ids: pd.Series, texts: pd.Series) -> pd.Series:
+        return pd.Series([repeat_tail(int(i), t) if t is not None else None for i, t in zip(ids, texts, strict=True)])
+
+    doc_id = docs["doc_id"].cast("long")
+    chosen = F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(False))
+    edited = edit(F.coalesce(doc_id, F.lit(0)), F.when(chosen, docs["text"]))
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(edited, docs["text"]).alias("text"))
+
+
+def highest_run(runs: Column) -> Column:
+    """The run of the greatest length / period (ties: smallest start, then period), NULL without runs.
+
+    Of runs ordered by start and period a later one wins only if its exponent is greater.
+    """
+    return F.reduce(
+        runs,
+        F.get(runs, 0),
+        lambda best, run: F.when(run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best),
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_tails(table(spark, sf_dir, "documents")))
+    best = highest_run(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.when(F.size("runs") == 0, "").otherwise(F.concat(F.array_join(lines, "\n"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_counts": op2_token_counts,
@@ -122,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
