@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, periodic, pieces, quality, sharding, token_counts
+from spendstar.llm import alignment, bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, periodic, pieces, quality, sharding, token_counts
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
@@ -169,6 +169,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    aligned = alignment.align(docs, bpe.default_path("byte_bpe_50k.json"), bpe.default_path("piece_bpe_32k.model"))
+    found = alignment.linked(aligned)
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    narrow = found.withColumn("groups_sha256", digest).drop("groups")
+    return alignment.with_rare_links(narrow, aligned).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_counts": op2_token_counts,
@@ -181,6 +190,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {}
