@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendstar.llm import alignment, bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, periodic, pieces, quality, sharding, token_counts
+from spendstar.llm import alignment, bpe, fingerprints, hnsw, langid, lm, near_dedup, packing, periodic, pieces, quality, sharding, token_counts, toxicity
 from spendstar.llm.common import table
 
 TOKEN_LIMIT = 1024
@@ -22,6 +22,7 @@ SEQUENCE = 2048
 END_ID = 1
 SHARDS = 24
 SHARD_SEED = 20
+TOXIC_FROM = 0.7
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +170,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = toxicity.fit(docs, labels, ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    )
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     aligned = alignment.align(docs, bpe.default_path("byte_bpe_50k.json"), bpe.default_path("piece_bpe_32k.model"))
@@ -190,6 +200,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_toxicity": op12_toxicity,
     "op13_alignment": op13_alignment,
 }
 

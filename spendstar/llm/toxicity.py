@@ -3,15 +3,16 @@
 1. Terms: a text's lower-cased words and, marked as such, their first letters, so that
    forms of one stem share evidence. Each term is hashed to one of ``SLOTS`` slots.
 2. Fitting uses at most about ``SAMPLE`` labelled documents of each label, chosen by a hash
-   of the id, and weighs them up to the numbers they stand for. Their slots are counted
-   with and without the label by grouped aggregation; ``CHOSEN`` slots become features:
-   half of them tell the labels apart best (G statistic), half are the most frequent among
-   toxic documents, so that terms which mean something only together are there too.
-   A feature's value is its inverse document frequency.
+   of the id, and weighs them up to the numbers they stand for; equal texts count once, or
+   the rare words of a text with many copies would pass for a sign. Slots are counted
+   with and without the label by grouped aggregation. Features are the ``TELLING`` slots that
+   speak most for the label (G statistic, at least ``LEAST_GAIN``) and the ``FREQUENT`` ones
+   most frequent among toxic documents, so that terms which mean something only beside
+   others are there too. A feature's value is its inverse document frequency.
 3. The machine's log-odds are a constant, a weight per feature and, for each pair of
    features, the inner product of two learned vectors: a pair such as an insult and a
    mention of a group can count for more than its two terms. It is trained in numpy on the
-   driver on one bit per document and feature (bounded by the sample and ``CHOSEN``).
+   driver on one bit per document and feature (bounded by the sample and the features).
 4. Every whole text is scored in tasks; words' features are cached per worker.
 
 Defined cases: a NULL or empty text, or one without words, has the constant's score;
@@ -37,13 +38,15 @@ from spendstar.llm.common import prepare
 
 SAMPLE = 10_000
 SLOTS = 1 << 18
-CHOSEN = 4_096
+TELLING, FREQUENT = 2_048, 64
+# Half of a slot's G statistic; about what six toxic documents and no other one give.
+LEAST_GAIN = 6.0
 FACTORS = 8
-STEMS = (4, 6)
-EPOCHS = 30
+STEMS = (4, 5, 6)
 BATCH = 256
-LEARNING_RATE = 0.05
-RIDGE = 2e-4
+STEPS, LEAST_EPOCHS = 1_500, 20
+LEARNING_RATE = 0.2
+RIDGE = 1e-5
 SEED = 12
 CACHE_LIMIT = 300_000
 
@@ -88,7 +91,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(bits: np.ndarray, values: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = EPOCHS, seed: int = SEED):
+def train(bits: np.ndarray, values: np.ndarray, y: np.ndarray, weight: np.ndarray, seed: int = SEED):
     """Bias, weights and factors from packed feature bits, by Adagrad on the weighted logistic loss."""
     n, width = len(y), len(values)
     rng = np.random.default_rng(seed)
@@ -99,7 +102,7 @@ def train(bits: np.ndarray, values: np.ndarray, y: np.ndarray, weight: np.ndarra
     seen = [np.float32(1e-4), np.full(width, 1e-4, np.float32), np.full((width, FACTORS), 1e-4, np.float32)]
     scale = (weight / weight.mean()).astype(np.float32)
     values = values.astype(np.float32)
-    for _ in range(epochs):
+    for _ in range(max(LEAST_EPOCHS, STEPS * BATCH // n)):
         order = rng.permutation(n)
         for lo in range(0, n, BATCH):
             rows = order[lo : lo + BATCH]
@@ -149,14 +152,23 @@ def fit(docs: DataFrame, labels: DataFrame, learned: Column, column: str = "toxi
                 words = set(_WORD.findall(text.lower()))
                 found.append(sorted({s for w in words for s in slots_of_word(w)}))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "y", "weight", "slots"]
+                [*batch.columns[:3], batch.column(4), pa.array(found, pa.list_(pa.int32()))],
+                names=["doc_id", "y", "weight", "text_key", "slots"],
             )
 
     rows = (
         docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "y", "weight", "text")
-        .mapInArrow(to_slots, "doc_id long, y double, weight double, slots array<int>")
+        .select("doc_id", "y", "weight", "text", F.sha2("text", 256).alias("text_key"))
+        .mapInArrow(to_slots, "doc_id long, y double, weight double, text_key string, slots array<int>")
+        .groupBy("text_key")
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.avg("y").alias("y"),
+            F.max("weight").alias("weight"),
+            F.any_value("slots").alias("slots"),
+        )
+        .select("doc_id", "y", "weight", "slots")
         .checkpoint()
     )
     # at most ``SLOTS`` rows
@@ -193,7 +205,9 @@ def fit(docs: DataFrame, labels: DataFrame, learned: Column, column: str = "toxi
     return Model(slots, values, bias, w, v)
 
 
-def choose(counted: pa.Table, everything: float, toxic: float, size: int = CHOSEN) -> tuple[np.ndarray, np.ndarray]:
+def choose(
+    counted: pa.Table, everything: float, toxic: float, telling: int = TELLING, frequent: int = FREQUENT
+) -> tuple[np.ndarray, np.ndarray]:
     """Slots (ascending) to be features, and their values."""
     counted = counted.sort_by("slot")
     slot, n, hit = (counted.column(c).to_numpy().astype(float) for c in ("slot", "all", "toxic"))
@@ -208,9 +222,11 @@ def choose(counted: pa.Table, everything: float, toxic: float, size: int = CHOSE
         expected = row * column / everything
         with np.errstate(divide="ignore", invalid="ignore"):
             gain += np.where((cell > 1e-9) & (expected > 1e-9), cell * np.log(cell / expected), 0.0)
-    first = np.argsort(-gain, kind="stable")[: size // 2]
-    rest = np.setdiff1d(np.argsort(-hit, kind="stable"), first, assume_unique=True)
-    rest = rest[np.argsort(-hit[rest], kind="stable")][: size - len(first)]
+    gain[hit * everything <= n * toxic] = 0
+    first = np.argsort(-gain, kind="stable")[:telling]
+    first = first[gain[first] >= LEAST_GAIN]
+    common = np.argsort(-hit, kind="stable")
+    rest = common[~np.isin(common, first)][:frequent]
     kept = np.sort(np.concatenate([first, rest]))
     values = np.log((everything + 1) / n[kept]) / np.log(everything + 1)
     # a term that is in every document tells nothing
