@@ -6,15 +6,19 @@ text; special strings inside it are plain text. The bytes of each side's tokens
 give the blank and the text, else the document counts as one without tokens.
 
 1. Anchors: byte offsets where tokens of both sides end and the next token of both
-   begins with a blank. They cut a document into windows, pairs of id tuples.
-2. Windows repeat, so their alignment (groups between shared ends, links between
-   tokens that overlap) is kept by its two id tuples in a cache of each worker, bounded
-   in bytes. Which windows are in it changes the speed, never the result.
-3. ``align`` writes each document's ids and each task's sums of linked id pairs, counted
-   by window first, to one table in the shared folder. Its pairs are added up by pair.
-4. ``linked`` runs over the written ids again and looks each pair's count up: the
-   ``HELD_PAIRS`` most frequent pairs are broadcast (at most 17 bytes each); links of the
-   others, rare by choice, leave as (pair, times) and get their counts by a join.
+   begins with a blank. They cut a document into windows, pairs of id tuples. Where both
+   tokenizers encode the stretches between single blanks apart from each other, a text's
+   ids are those of its stretches, kept by stretch with their window.
+2. Windows are numbered by their two id tuples in a cache of each worker, bounded in entries.
+   A window's alignment (groups between shared ends, links between tokens that overlap) is
+   found once for all its occurrences: once a task to count linked pairs, and once a block
+   of documents to score them. Which windows are cached changes the speed, never the result.
+3. ``align`` writes blocks of documents (their windows, each once, and each document's
+   window numbers) and each task's sums of linked id pairs to one table in the shared
+   folder. Its pairs are added up by pair.
+4. ``linked`` reads the blocks and looks each pair's count up: the ``HELD_PAIRS`` most
+   frequent pairs are broadcast (at most 17 bytes each); links of the others, rare by
+   choice, leave as (pair, times) and get their counts by a join.
 
 Defined cases: a NULL or empty text has no tokens, no groups and no links; repeated rows
 each count and each give a row; an empty table gives no rows; other columns are
@@ -24,8 +28,13 @@ equals it.
 
 from __future__ import annotations
 
+import gc
+import os
+from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import count, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +47,17 @@ from spendstar.llm.common import prepare
 from spendstar.session import scratch_path
 
 HELD_PAIRS = 1 << 20
-CACHE_LIMIT = 300_000
-# Bytes of ids in a worker's cached windows, and in a block of documents worked on at once.
-WINDOW_BYTES = 1 << 22
+# Pieces and windows in a worker's cache.
+CACHE_LIMIT = 400_000
+# Bytes of texts in a block of documents, and of the table's row groups.
 BLOCK_BYTES = 1 << 19
+GROUP_BYTES = 1 << 24
 PAIRS_PER_ROW = 50_000
+# Pieces encoded with one text.
+TOGETHER = 64
 ESCAPE = "▁"
-MAX_CACHED_CHARS = 48
 
-IDS = np.dtype("<u4")
+_STOPS = frozenset(".,;:!?")
 _SHIFT = 32  # a link's key: A's id above B's
 
 
@@ -57,48 +68,125 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(shifted)}
 
 
-class SideA:
-    """The byte-level BPE: ids of whole texts and bytes of ids."""
+class Side:
+    """One tokenizer: ids of whole texts, each after a blank, and bytes of ids."""
+
+    def __init__(self, data: list[bytes], ids: np.dtype):
+        self.data, self.ids = data, ids
+        self.sizes = np.array([len(d) for d in data])
+        self.blank = np.array([d.startswith(b" ") for d in data])
+        self.line_break = np.array([d == b"\n" for d in data])
+        self.tails: dict[str, bytes] = {}
+
+    def of_text(self, text: str) -> list[int]:
+        """Ids of a whole text after a blank, by the library."""
+        raise NotImplementedError
+
+    def of_tail(self, char: str) -> list[int]:
+        """Ids of one character without a blank."""
+        raise NotImplementedError
+
+    def cut(self, piece: str) -> bool:
+        """Whether the last character's ids are its own, whatever is before it in the piece."""
+        raise NotImplementedError
+
+    def apart(self, text: str) -> bool:
+        """Whether the text's ids are those of its pieces."""
+        raise NotImplementedError
+
+    def written(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.ids).tobytes()
+
+    def tail(self, char: str) -> bytes:
+        if char not in self.tails:
+            self.tails[char] = self.written(self.of_tail(char))
+        return self.tails[char]
+
+    def bytes_of(self, ids: bytes) -> bytes:
+        return b"".join(map(self.data.__getitem__, np.frombuffer(ids, self.ids).tolist()))
+
+    def of_texts(self, texts: list[str]) -> list[list[int]]:
+        return list(map(self.of_text, texts))
+
+    def of_pieces(self, pieces: list[str], lead: str, between: str, starts: np.ndarray) -> Iterator[bytes | None]:
+        """Ids of each piece, from those of texts that hold many of them.
+
+        ``starts`` marks the tokens that begin a piece; ``lead`` is one token before the first
+        piece (or none). Where a text's tokens are not as expected its pieces are encoded alone.
+        """
+        some = [pieces[k : k + TOGETHER] for k in range(0, len(pieces), TOGETHER)]
+        texts = [lead + between.join(part) for part in some]
+        for part, text, ids in zip(some, texts, self.of_texts(texts), strict=True):
+            ids = self.written(ids)
+            at = np.flatnonzero(starts[np.frombuffer(ids, self.ids)])
+            if len(at) != len(part) or at[0] != len(lead) or self.bytes_of(ids) != (" " + text).encode("utf-8", "replace"):
+                # a piece after a line break has no ids of its own then
+                yield from [None if lead else self.alone(p) for p in part]
+            else:
+                bounds = [*(at * self.ids.itemsize).tolist(), len(ids)]
+                yield from [ids[i:j] for i, j in pairwise(bounds)]
+
+    def alone(self, piece: str) -> bytes | None:
+        """Ids of a piece after a blank; None if their bytes are others."""
+        ids = self.written(self.of_text(piece))
+        return ids if self.bytes_of(ids) == (" " + piece).encode("utf-8", "replace") else None
+
 
-    def __init__(self, path: str):
-        tokenizer = bpe.load(path)
-        tokenizer.encode_special_tokens = True
+class ByteLevel(Side):
+    """The byte-level BPE. Its pre-tokeniser cuts before each single blank, and between a letter and a stop."""
+
+    def __init__(self, path: str, ids: np.dtype | None = None):
+        self.tokenizer = bpe.load(path)
+        self.tokenizer.encode_special_tokens = True
         alphabet = _byte_of_char()
-        added = tokenizer.get_added_tokens_decoder()
-        self.data = [b""] * tokenizer.get_vocab_size()
-        for token, i in tokenizer.get_vocab().items():
-            self.data[i] = token.encode() if i in added else bytes(alphabet[c] for c in token)
-        self.cache = bpe.PieceCache(tokenizer, lambda ids: np.array(ids, IDS).tobytes(), CACHE_LIMIT)
+        added = self.tokenizer.get_added_tokens_decoder()
+        data = [b""] * self.tokenizer.get_vocab_size()
+        for token, i in self.tokenizer.get_vocab().items():
+            data[i] = token.encode() if i in added else bytes(alphabet[c] for c in token)
+        super().__init__(data, ids or _width(len(data)))
+
+    def of_text(self, text: str) -> list[int]:
+        return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a blank and the text."""
-        if "  " not in text and text[0] != " ":
-            return b"".join(map(self.cache.__getitem__, text.split(" ")))
-        return b"".join(self.cache.values_of(" " + text))
+    def of_texts(self, texts: list[str]) -> list[list[int]]:
+        batch = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return [e.ids for e in batch]
 
+    def of_tail(self, char: str) -> list[int]:
+        return self.tokenizer.encode(char, add_special_tokens=False).ids
 
-class SideB(dict):
-    """The SentencePiece model: ids of whole texts and bytes of ids; keys are stretches after a blank."""
+    def cut(self, piece: str) -> bool:
+        # a letter of the Latin blocks, which are letters in any Unicode version
+        return piece[-2] < "\u0250" and piece[-2].isalpha()
 
-    def __init__(self, path: str):
+    def apart(self, text: str) -> bool:
+        return "  " not in text and text[0] != " " and text[-1] != " "
+
+
+class Pieces(Side):
+    """The SentencePiece model, which itself sets a blank before a text."""
+
+    def __init__(self, path: str, ids: np.dtype | None = None):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
 
-        super().__init__()
         with open(path, "rb") as f:
             proto = pb.ModelProto.FromString(f.read())
         kinds = pb.ModelProto.SentencePiece
-        self.data = [
-            bytes([int(p.piece[3:5], 16)])
-            if p.type == kinds.BYTE
-            else p.piece.replace(ESCAPE, " ").encode()
-            if p.type in (kinds.NORMAL, kinds.USER_DEFINED)
-            else b""
-            for p in proto.pieces
-        ]
+        super().__init__(
+            [
+                bytes([int(p.piece[3:5], 16)])
+                if p.type == kinds.BYTE
+                else p.piece.replace(ESCAPE, " ").encode()
+                if p.type in (kinds.NORMAL, kinds.USER_DEFINED)
+                else b""
+                for p in proto.pieces
+            ],
+            ids or _width(len(proto.pieces)),
+        )
         texts = [p.piece for p in proto.pieces if p.type in (kinds.NORMAL, kinds.USER_DEFINED)]
         norm = proto.normalizer_spec
-        # stretches can be encoded one by one if no piece goes on past the start of an escaped blank
+        # pieces can be encoded on their own if no token goes on past the start of an escaped blank
         self.cuts = (
             proto.trainer_spec.model_type == pb.TrainerSpec.BPE
             and not any(ESCAPE in t.lstrip(ESCAPE) for t in texts)
@@ -107,228 +195,284 @@ class SideB(dict):
             and not (norm.precompiled_charsmap or norm.remove_extra_whitespaces)
             and norm.escape_whitespaces
         )
+        self.cuts = self.cuts and not any("\n" in t for t in texts)
+        self.joints = {t[k : k + 2] for t in texts for k in range(len(t) - 1)}
         self.whole = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         norm.add_dummy_prefix = False
-        self.part = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        self.joints = {t[k : k + 2] for t in texts for k in range(len(t) - 1)}
-        self.heads: dict[str, bytes] = {}
-
-    def _ids(self, escaped: str) -> bytes:
-        return np.array(self.part.encode(escaped), IDS).tobytes()
-
-    def __missing__(self, stretch: str) -> bytes:
-        # a place between two characters that no piece holds in this order is a sure boundary
-        if len(stretch) > 1 and stretch[-2:] not in self.joints:
-            out = self[stretch[:-1]] + self.head(stretch[-1])
-        else:
-            at = stretch.find("\n")
-            if 0 < at and stretch[at - 1 : at + 1] not in self.joints and stretch[at : at + 2] not in self.joints:
-                out = self[stretch[:at]] + self.head("\n") + self.head(stretch[at + 1 :])
-            else:
-                out = self._ids(ESCAPE + stretch)
-        if len(stretch) <= MAX_CACHED_CHARS:
-            if len(self) >= CACHE_LIMIT:
-                self.clear()
-            self[stretch] = out
-        return out
-
-    def head(self, text: str) -> bytes:
-        """Ids of characters without a blank before them."""
-        out = self.heads.get(text)
-        if out is None:
-            out = self._ids(text)
-            if len(text) <= MAX_CACHED_CHARS:
-                if len(self.heads) >= CACHE_LIMIT // 4:
-                    self.heads.clear()
-                self.heads[text] = out
-        return out
+        self.bare = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
 
-    def encode(self, text: str) -> bytes:
-        """Ids of the text; the model itself sets a blank before it."""
-        if not self.cuts:
-            return np.array(self.whole.encode(text), IDS).tobytes()
-        if "  " not in text and text[0] != " " and text[-1] != " " and ESCAPE not in text:
-            return b"".join(map(self.__getitem__, text.split(" ")))
-        out, blanks = [], 0
-        for stretch in text.replace(ESCAPE, " ").split(" "):
-            if stretch:
-                out.append(self._ids(ESCAPE * (blanks + 1) + stretch) if blanks else self[stretch])
-                blanks = 0
-            else:
-                blanks += 1
-        if blanks:
-            out.append(self._ids(ESCAPE * blanks))
-        return b"".join(out)
+    def of_text(self, text: str) -> list[int]:
+        return self.whole.encode(text)
 
+    def of_tail(self, char: str) -> list[int]:
+        return self.bare.encode(char)
 
-class Aligner:
-    """Windows of two id sequences and their alignments."""
+    def cut(self, piece: str) -> bool:
+        return self.cuts and piece[-2:] not in self.joints
 
-    def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = SideA(path_a), SideB(path_b)
-        self.n_a, self.n_b = [np.array([len(d) for d in side.data]) for side in (self.a, self.b)]
-        self.blank_a, self.blank_b = [
-            np.array([d.startswith(b" ") for d in side.data]) for side in (self.a, self.b)
-        ]
+    def apart(self, text: str) -> bool:
+        return self.cuts and "  " not in text and text[0] != " " and text[-1] != " " and ESCAPE not in text
 
-    def windows(self, ids_a: bytes, ids_b: bytes) -> list[tuple[bytes, bytes]]:
-        """The id windows between anchors; both sides must have the same number of bytes."""
-        a, b = np.frombuffer(ids_a, IDS), np.frombuffer(ids_b, IDS)
-        if not len(a):
-            return []
-        size_a, size_b = self.n_a[a], self.n_b[b]
-        first_a, first_b = np.flatnonzero(self.blank_a[a]), np.flatnonzero(self.blank_b[b])
-        start_a, start_b = (size_a.cumsum() - size_a)[first_a], (size_b.cumsum() - size_b)[first_b]
-        at = np.searchsorted(start_b, start_a)
-        inside = at < len(start_b)
-        first_a, start_a, at = first_a[inside], start_a[inside], at[inside]
-        shared = (start_b[at] == start_a) & (start_a > 0)
-        width = IDS.itemsize
-        cut_a = (first_a[shared] * width).tolist()
-        cut_b = (first_b[at[shared]] * width).tolist()
-        return [
-            (ids_a[i:j], ids_b[k:m])
-            for i, j, k, m in zip([0, *cut_a], [*cut_a, len(ids_a)], [0, *cut_b], [*cut_b, len(ids_b)], strict=True)
-        ]
 
-    def align(self, window: tuple[bytes, bytes]) -> tuple[bytes, int, list[int]]:
-        """(groups as text, their number, keys of the links) of a window."""
-        a, b = (np.frombuffer(ids, IDS).tolist() for ids in window)
-        data_a, data_b = self.a.data, self.b.data
-        if len(a) == 1 and len(b) == 1:
-            return b"%d|%d" % (a[0], b[0]), 1, [a[0] << _SHIFT | b[0]]
-        groups, links, n = [], [], 0
-        i = j = from_i = from_j = 0
-        end_a, end_b = len(data_a[a[0]]), len(data_b[b[0]])
-        while True:
-            links.append(a[i] << _SHIFT | b[j])
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[from_i:i + 1]))}|{','.join(map(str, b[from_j:j + 1]))}")
-                n += 1
-                i, j = i + 1, j + 1
-                if i == len(a) or j == len(b):
-                    break
-                from_i, from_j = i, j
-                end_a += len(data_a[a[i]])
-                end_b += len(data_b[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(data_a[a[i]])
-            else:
-                j += 1
-                end_b += len(data_b[b[j]])
-        return ";".join(groups).encode(), n, links
-
-    def text_of(self, window: tuple[bytes, bytes]) -> bytes | None:
-        """The window's bytes, None if its two sides differ."""
-        sides = [
-            b"".join(map(data.__getitem__, np.frombuffer(ids, IDS).tolist()))
-            for data, ids in zip((self.a.data, self.b.data), window, strict=True)
-        ]
-        return sides[0] if sides[0] == sides[1] else None
+def _width(size: int) -> np.dtype:
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
-    def encode(self, text: str) -> tuple[bytes, bytes]:
-        return (self.a.encode(text), self.b.encode(text)) if text else (b"", b"")
 
+class _Sure(dict):
+    """Whether both sides have a sure boundary between two characters, a stop the second."""
 
-class Windows(dict):
-    """Numbers windows by their id tuples; ``added`` lists those not seen since it was emptied."""
-
-    def __init__(self):
+    def __init__(self, tool: Aligner):
         super().__init__()
-        self.bytes = 0
-        self.added: list[tuple[bytes, bytes]] = []
+        self.tool = tool
 
-    def __missing__(self, window: tuple[bytes, bytes]) -> int:
-        out = self[window] = len(self)
-        self.bytes += len(window[0]) + len(window[1])
-        self.added.append(window)
+    def __missing__(self, pair: str) -> bool:
+        out = self[pair] = len(pair) == 2 and all(side.cut(pair) for side in self.tool.sides)
         return out
 
-    def full(self) -> bool:
-        return self.bytes > WINDOW_BYTES
+
+class Aligner:
+    """Encodes texts by two tokenizers and aligns windows of their ids."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = ByteLevel(path_a), Pieces(path_b)
+        self.sides = (self.a, self.b)
+        # ids as text with what follows them inside and at the end of a group's side
+        self.code_text: list[bytes] = []
+        self.first_code: list[int] = []
+        for side, end in zip(self.sides, (b"|", b";"), strict=True):
+            self.first_code.append(len(self.code_text))
+            for i in range(len(side.data)):
+                self.code_text += [b"%d," % i, b"%d%s" % (i, end)]
+        self.empty()
 
     def empty(self) -> None:
-        self.clear()
-        self.added, self.bytes = [], 0
+        # each side's ids of parts of pieces; None where their bytes are not the part's
+        self.known: tuple[dict[str, bytes | None], ...] = ({}, {})
+        # windows by their id tuples, and the window of each piece (-1: it has none)
+        self.window: dict[tuple[bytes, bytes], int] = defaultdict(count().__next__)
+        self.piece: dict[str, int] = {}
+        self.sure = _Sure(self)
+
+    def full(self) -> bool:
+        return len(self.piece) > CACHE_LIMIT or len(self.window) > CACHE_LIMIT or len(self.known[0]) > CACHE_LIMIT
+
+    def learn(self, pieces: set[str]) -> None:
+        """Find the windows of new pieces (stretches after a blank, without one), many encoded with one call.
+
+        Lone line breaks, and stops after a letter, are sure boundaries of both sides:
+        the parts between them repeat more often than the pieces.
+        """
+        known, b = self.known[0], self.b
+        words: dict[str, None] = {}  # after a blank
+        lines: dict[str, None] = {}  # after a line break, which they begin with
+        alone: list[str] = []
+        cut: list[str] = []
+        broken: list[tuple[str, list[str]]] = []
+        new = list(pieces.difference(self.piece))
+
+        def need(part: str) -> None:
+            if part not in known:
+                if part[-1:] in _STOPS and self.sure[part[-2:]]:
+                    cut.append(part)
+                    part = part[:-1]
+                    if part in known:
+                        return
+                (lines if part[0] == "\n" else words)[part] = None
+
+        for piece in new:
+            if piece.isprintable():
+                need(piece)
+                continue
+            parts = piece.split("\n")
+            if not b.cuts or not all(p and p.isprintable() for p in parts):
+                alone.append(piece)
+                continue
+            parts[1:] = ["\n" + p for p in parts[1:]]
+            broken.append((piece, parts))
+            for part in parts:
+                need(part)
+        for side, of_side in zip(self.sides, self.known, strict=True):
+            of_side.update(zip(words, side.of_pieces(list(words), "", " ", side.blank), strict=True))
+            of_side.update(zip(lines, side.of_pieces(list(lines), "x", "", side.line_break), strict=True))
+            for piece in alone:
+                of_side[piece] = side.alone(piece)
+            for part in cut:
+                ids = of_side[part[:-1]]
+                of_side[part] = ids and ids + side.tail(part[-1])
+            for piece, parts in broken:
+                ids = list(map(of_side.__getitem__, parts))
+                of_side[piece] = None if None in ids else b"".join(ids)
+        both = zip(*[map(of_side.__getitem__, new) for of_side in self.known], strict=True)
+        self.piece.update(zip(new, [-1 if None in ids else self.window[ids] for ids in both], strict=True))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The windows of each text; none if the bytes of its ids are not those of a blank and the text."""
+        split = [t.split(" ") if t and all(s.apart(t) for s in self.sides) else [] for t in texts]
+        self.learn(set().union(*split))
+        out = []
+        for text, pieces in zip(texts, split, strict=True):
+            found = np.fromiter(map(self.piece.__getitem__, pieces), np.int64, len(pieces))
+            if text and (not pieces or found.min() < 0):
+                ids = [s.alone(text) for s in self.sides]
+                windows = [] if None in ids else self.cut(*ids)
+                found = np.fromiter(map(self.window.__getitem__, windows), np.int64, len(windows))
+            out.append(found)
+        return out
+
+    def cut(self, ids_a: bytes, ids_b: bytes) -> list[tuple[bytes, bytes]]:
+        """The windows between the anchors of a whole text's ids on both sides."""
+        first, start = [], []
+        for side, ids in zip(self.sides, (ids_a, ids_b), strict=True):
+            tokens = np.frombuffer(ids, side.ids)
+            size = side.sizes[tokens]
+            blank = np.flatnonzero(side.blank[tokens])
+            first.append(blank)
+            start.append((size.cumsum() - size)[blank])
+        at = np.searchsorted(start[1], start[0])
+        at[at == len(start[1])] = 0
+        shared = start[1][at] == start[0]
+        cut_a = (first[0][shared] * self.a.ids.itemsize).tolist()
+        cut_b = (first[1][at[shared]] * self.b.ids.itemsize).tolist()
+        return [
+            (ids_a[i:j], ids_b[k:m])
+            for i, j, k, m in zip(cut_a, [*cut_a[1:], len(ids_a)], cut_b, [*cut_b[1:], len(ids_b)], strict=True)
+        ]
+
+    def joined(self, windows: list[tuple[bytes, bytes]]) -> list[bytes]:
+        """Ids of all windows and tokens of each, for both sides."""
+        out = []
+        for k, side in enumerate(self.sides):
+            part = [w[k] for w in windows]
+            out += [b"".join(part), np.array([len(p) // side.ids.itemsize for p in part], "<u4").tobytes()]
+        return out
+
+    def align(self, ids_a: bytes, tokens_a: bytes, ids_b: bytes, tokens_b: bytes, with_text: bool = False):
+        """Of joined windows: keys of all links, links and groups per window, each window's groups as text."""
+        ids = [np.frombuffer(x, side.ids).astype(np.int64) for x, side in zip((ids_a, ids_b), self.sides, strict=True)]
+        until = [np.frombuffer(x, "<u4").cumsum() for x in (tokens_a, tokens_b)]
+        ends_a, ends_b = [side.sizes[x].cumsum() for side, x in zip(self.sides, ids, strict=True)]
+        # a link ends wherever a token of either side does, a group where tokens of both do
+        mark = np.zeros(ends_a[-1] + 1, np.uint8)
+        mark[ends_a] = 1
+        mark[ends_b] += 2
+        of_end = mark[np.flatnonzero(mark)]
+        in_a, in_b, shared = of_end & 1, of_end >> 1, of_end == 3
+        at_a, at_b = in_a.cumsum(dtype=np.int64) - in_a, in_b.cumsum(dtype=np.int64) - in_b
+        keys = ids[0][at_a] << _SHIFT | ids[1][at_b]
+        closing = (mark > 0).cumsum()[ends_a[until[0] - 1]]
+        links = np.diff(closing, prepend=0)
+        groups = np.diff(shared.cumsum()[closing - 1], prepend=0)
+        if not with_text:
+            return keys, links, groups, []
+        # each group is its tokens of A, then those of B
+        last_a, last_b = at_a[shared], at_b[shared]
+        codes = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+        passed = np.concatenate(([0], last_b + 1)), last_a + 1
+        for x, last, other, first in zip(ids, (last_a, last_b), passed, self.first_code, strict=True):
+            closes = np.zeros(len(x), np.int64)
+            closes[last] = 1
+            group = closes.cumsum() - closes
+            codes[np.arange(len(x)) + other[group]] = first + 2 * x + closes
+        parts = list(map(self.code_text.__getitem__, codes.tolist()))
+        bounds = [0, *(until[0] + until[1]).tolist()]
+        return keys, links, groups, [b"".join(parts[i:j])[:-1] for i, j in pairwise(bounds)]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
+@contextmanager
+def _without_collector():
+    """Millions of cached tuples hold no cycles; looking for some takes a sixth of a task's time."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def aligner(path_a: str, path_b: str) -> Aligner:
+    # a task has one core
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if (path_a, path_b) not in _ALIGNERS:
         _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
     return _ALIGNERS[path_a, path_b]
 
 
 class _PairSums:
-    """Sums of linked pairs of one task, counted by window; given out whenever the windows are full."""
+    """Sums of linked pairs of one task, counted by window; given out whenever the cache is full."""
 
     def __init__(self, tool: Aligner):
-        self.tool, self.windows = tool, Windows()
-        self.texts: list[bytes | None] = []
-        self.times = np.zeros(0, np.int64)
+        self.tool, self.times = tool, np.zeros(0, np.int64)
 
-    def take(self, text: str) -> tuple[bytes, bytes]:
-        """The ids of a text whose links are counted; none if the bytes are not the text's."""
-        tool = self.tool
-        a, b = tool.encode(text)
-        data = (" " + text).encode("utf-8", "replace") if text else b""
-        if not (
-            tool.n_a[np.frombuffer(a, IDS)].sum() == tool.n_b[np.frombuffer(b, IDS)].sum() == len(data)
-        ):
-            return b"", b""
-        found = list(map(self.windows.__getitem__, tool.windows(a, b)))
-        self.texts += map(tool.text_of, self.windows.added)
-        self.windows.added = []
-        parts = [self.texts[k] for k in found]
-        if None in parts or b"".join(parts) != data:
-            return b"", b""
-        if len(self.windows) > len(self.times):
-            self.times = np.concatenate([self.times, np.zeros(max(1024, 2 * len(self.windows)), np.int64)])
-        np.add.at(self.times, found, 1)
-        return a, b
+    def add(self, numbers: np.ndarray) -> None:
+        times = np.bincount(numbers, minlength=len(self.times))
+        times[: len(self.times)] += self.times
+        self.times = times
 
     def give(self) -> tuple[np.ndarray, np.ndarray]:
         """(keys, sums) so far; starts anew."""
-        links = [self.tool.align(w)[2] if t else [] for w, t in zip(self.windows, self.times.tolist())]
-        keys = np.array([k for x in links for k in x], np.int64)
-        times = np.repeat(self.times[: len(links)], [len(x) for x in links])
-        self.windows.empty()
-        self.texts, self.times = [], np.zeros(0, np.int64)
-        if not len(keys):
-            return keys, times
+        seen = np.flatnonzero(self.times)
+        if not len(seen):
+            return seen, seen
+        windows = list(self.tool.window)
+        keys, links, _, _ = self.tool.align(*self.tool.joined([windows[k] for k in seen.tolist()]))
+        times = np.repeat(self.times[seen], links)
+        self.times = np.zeros(0, np.int64)
         order = np.argsort(keys, kind="stable")
         keys, times = keys[order], times[order]
         firsts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         return keys[firsts], np.add.reduceat(times, firsts)
 
 
-_ENCODED = "row long, doc_id long, a binary, b binary, pairs array<struct<key: long, n: long>>"
-_PAIRS_ARROW = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
-_ARROW = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("pairs", _PAIRS_ARROW)]
+def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``BLOCK_BYTES``."""
+    size, lo = 0, 0
+    for k, n in enumerate(sizes):
+        size += n
+        if size > BLOCK_BYTES or k == len(sizes) - 1:
+            yield lo, k + 1
+            size, lo = 0, k + 1
+
+
+# A row is a block of documents, or a part of a task's sums. ``numbers`` (four bytes each) are
+# the documents' windows, ``windows`` how many each has; ids and their number per window by side.
+_BLOCKS = pa.schema(
+    [
+        ("row", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("windows", pa.list_(pa.int32())),
+        *[(name, pa.binary()) for name in ("numbers", "ids_a", "tokens_a", "ids_b", "tokens_b")],
+        ("pairs", pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))),
+    ]
+)
+_BLOCKS_SQL = (
+    "row long, doc_ids array<long>, windows array<int>, numbers binary, ids_a binary, tokens_a binary, "
+    "ids_b binary, tokens_b binary, pairs array<struct<key: long, n: long>>"
 )
 
 
+def _row(**values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([values], schema=_BLOCKS)
+
+
 def _pair_rows(keys: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
     for lo in range(0, len(keys), PAIRS_PER_ROW):
         part = pa.StructArray.from_arrays(
             [pa.array(keys[lo : lo + PAIRS_PER_ROW]), pa.array(sums[lo : lo + PAIRS_PER_ROW])], names=["key", "n"]
         )
         pairs = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
-        nothing = [pa.nulls(1, f.type) for f in list(_ARROW)[:4]]
-        yield pa.RecordBatch.from_arrays([*nothing, pairs.cast(_PAIRS_ARROW)], schema=_ARROW)
+        nothing = [pa.nulls(1, f.type) for f in list(_BLOCKS)[:-1]]
+        yield pa.RecordBatch.from_arrays([*nothing, pairs.cast(_BLOCKS.field("pairs").type)], schema=_BLOCKS)
 
 
 @dataclass
 class Aligned:
-    """Written ids of all documents (row, doc_id, a, b) and counts of all linked pairs."""
+    """Written blocks of all documents and counts of all linked pairs."""
 
     path_a: str
     path_b: str
-    documents: DataFrame
+    blocks: DataFrame
     totals: DataFrame  # key, n, best (n is the highest of the key's B id)
 
 
@@ -338,36 +482,46 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> Aligned:
     prepare(spark)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _PairSums(aligner(path_a, path_b))
+        with _without_collector():
+            yield from encode_blocks(batches)
+
+    def encode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = aligner(path_a, path_b)
+        sums = _PairSums(tool)
         row = TaskContext.get().partitionId() << _SHIFT
         for batch in batches:
-            ids_a, ids_b, rows = [], [], []
-            for text in batch.column(1).to_pylist():
-                a, b = sums.take(text)
-                ids_a.append(a)
-                ids_b.append(b)
-                rows.append(row)
-                row += 1
-                if sums.windows.full():
+            texts = batch.column(1).to_pylist()
+            for lo, hi in _blocks([len(t) for t in texts]):
+                if tool.full():
                     yield from _pair_rows(*sums.give())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows, pa.int64()),
-                    batch.column(0),
-                    pa.array(ids_a, pa.binary()),
-                    pa.array(ids_b, pa.binary()),
-                    pa.nulls(len(rows), _PAIRS_ARROW),
-                ],
-                schema=_ARROW,
-            )
+                    tool.empty()
+                found = tool.encode(texts[lo:hi])
+                numbers = np.concatenate(found)
+                sums.add(numbers)
+                own, numbers = np.unique(numbers, return_inverse=True)
+                windows = list(tool.window)
+                ids_a, tokens_a, ids_b, tokens_b = tool.joined([windows[k] for k in own.tolist()])
+                yield _row(
+                    row=row,
+                    doc_ids=batch.column(0).slice(lo, hi - lo).to_pylist(),
+                    windows=[len(f) for f in found],
+                    numbers=numbers.astype("<u4").tobytes(),
+                    ids_a=ids_a,
+                    tokens_a=tokens_a,
+                    ids_b=ids_b,
+                    tokens_b=tokens_b,
+                )
+                row += hi - lo
         yield from _pair_rows(*sums.give())
 
     texts = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")
     )
     path = scratch_path(spark, "alignment")
-    texts.mapInArrow(encode, _ENCODED).write.mode("overwrite").option("compression", "zstd").parquet(path)
-    written = spark.read.schema(_ENCODED).parquet(path)
+    writer = texts.mapInArrow(encode, _BLOCKS_SQL).write.mode("overwrite").option("compression", "zstd")
+    # a reader holds a row group's rows at once
+    writer.option("parquet.block.size", GROUP_BYTES).parquet(path)
+    written = spark.read.schema(_BLOCKS_SQL).parquet(path)
     counts = (
         written.where(F.col("pairs").isNotNull())
         .select(F.inline("pairs"))
@@ -384,51 +538,50 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> Aligned:
     return Aligned(path_a, path_b, written.where(F.col("row").isNotNull()).drop("pairs"), totals)
 
 
-class _Scores:
-    """Groups, links and counts of windows, with the held pairs' counts looked up block by block."""
-
-    def __init__(self, tool: Aligner, held: tuple[np.ndarray, np.ndarray, np.ndarray]):
-        self.tool, self.windows = tool, Windows()
-        self.keys, self.counts, self.best = held
-        self.empty()
-
-    def empty(self) -> None:
-        self.windows.empty()
-        self.groups: list[bytes] = []
-        self.sums = np.zeros((0, 4), np.int64)  # groups, links, links of the highest count, sum of counts
-        self.rare: dict[int, list[int]] = {}
-
-    def learn(self) -> None:
-        """Align the windows added since the last call."""
-        known = len(self.groups)
-        aligned = list(map(self.tool.align, self.windows.added))
-        self.windows.added = []
-        if not aligned:
-            return
-        self.groups += [g for g, _, _ in aligned]
-        sums = np.zeros((len(aligned), 4), np.int64)
-        sums[:, 0] = [n for _, n, _ in aligned]
-        sums[:, 1] = sizes = [len(links) for _, _, links in aligned]
-        links = np.array([k for x in aligned for k in x[2]], np.int64)
-        owner = np.repeat(np.arange(len(aligned)), sizes)
-        at = np.searchsorted(self.keys, links)
-        at[at == len(self.keys)] = 0
-        held = self.keys[at] == links if len(self.keys) else np.zeros(len(links), bool)
-        np.add.at(sums[:, 2], owner[held], self.best[at[held]])
-        np.add.at(sums[:, 3], owner[held], self.counts[at[held]])
-        for k, link in zip(owner[~held].tolist(), links[~held].tolist(), strict=True):
-            self.rare.setdefault(known + k, []).append(link)
-        self.sums = np.concatenate([self.sums, sums])
-
-
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``BLOCK_BYTES`` of ids."""
-    size, lo = 0, 0
-    for k in range(batch.num_rows):
-        size += len(batch.column(2)[k].as_py()) + len(batch.column(3)[k].as_py())
-        if size > BLOCK_BYTES or k == batch.num_rows - 1:
-            yield lo, k + 1
-            size, lo = 0, k + 1
+def _block_scores(tool: Aligner, block: dict, held: tuple[np.ndarray, np.ndarray, np.ndarray]):
+    """(numbers per document: groups, links, best links, count sum; its groups; its rare links)."""
+    keys, counts, best = held
+    sizes = block["windows"]
+    sums, rare = np.zeros((len(sizes), 4), np.int64), [[] for _ in sizes]
+    if not block["numbers"]:
+        return sums, [b""] * len(sizes), rare
+    links, per_window, groups, texts = tool.align(
+        block["ids_a"], block["tokens_a"], block["ids_b"], block["tokens_b"], with_text=True
+    )
+    at = np.searchsorted(keys, links)
+    at[at == len(keys)] = 0
+    known = keys[at] == links if len(keys) else np.zeros(len(links), bool)
+    own = np.zeros((len(links), 2), np.int64)
+    own[known, 0] = best[at[known]]
+    own[known, 1] = counts[at[known]]
+    firsts = per_window.cumsum() - per_window
+    of_window = np.column_stack([groups, per_window, np.add.reduceat(own, firsts)])
+    numbers = np.frombuffer(block["numbers"], "<u4")
+    bounds = [0, *np.cumsum(sizes).tolist()]
+    # a document without windows takes no part, or the next one's first would count for it
+    some = np.flatnonzero(sizes)
+    sums[some] = np.add.reduceat(of_window[numbers], np.array(bounds[:-1])[some])
+    parts = list(map(texts.__getitem__, numbers.tolist()))
+    if not known.all():
+        missed: dict[int, list[int]] = {}
+        owner = np.repeat(np.arange(len(per_window)), per_window)
+        for w, link in zip(owner[~known].tolist(), links[~known].tolist(), strict=True):
+            missed.setdefault(w, []).append(link)
+        for k, (i, j) in enumerate(pairwise(bounds)):
+            times: dict[int, int] = {}
+            for w in numbers[i:j].tolist():
+                for link in missed.get(w, ()):
+                    times[link] = times.get(link, 0) + 1
+            rare[k] = [{"key": key, "times": n} for key, n in times.items()]
+    return sums, [b";".join(parts[i:j]) for i, j in pairwise(bounds)], rare
+
+
+def _tokens(block: dict, side: str) -> np.ndarray:
+    """Tokens of each document on one side."""
+    of_window = np.frombuffer(block["tokens_" + side], "<u4")[np.frombuffer(block["numbers"], "<u4")]
+    until = np.concatenate(([0], of_window.cumsum(dtype=np.int64)))
+    ends = np.cumsum(block["windows"])
+    return np.diff(until[ends], prepend=0)
 
 
 _LINKED = (
@@ -442,7 +595,7 @@ def linked(aligned: Aligned, held_pairs: int = HELD_PAIRS) -> DataFrame:
 
     ``n_best`` and ``count_sum`` are without those links until ``with_rare_links`` adds them.
     """
-    spark = aligned.documents.sparkSession
+    spark = aligned.blocks.sparkSession
     top = aligned.totals.orderBy(F.desc("n"), "key").limit(held_pairs).toArrow()
     keys = top.column("key").to_numpy()
     order = np.argsort(keys)
@@ -451,40 +604,30 @@ def linked(aligned: Aligned, held_pairs: int = HELD_PAIRS) -> DataFrame:
     path_a, path_b = aligned.path_a, aligned.path_b
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _without_collector():
+            yield from score_blocks(batches)
+
+    def score_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(path_a, path_b)
-        scores = _Scores(tool, sent.value)
+        names = [f.split()[0] for f in _LINKED.split(", ")[:9]] + ["rare"]
         for batch in batches:
-            for lo, hi in _blocks(batch):
-                part = batch.slice(lo, hi - lo)
-                ids = list(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True))
-                found = [list(map(scores.windows.__getitem__, tool.windows(a, b))) for a, b in ids]
-                scores.learn()
-                sums = np.array([scores.sums[k].sum(axis=0) for k in found]).reshape(-1, 4)
-                rare = []
-                for windows in found:
-                    times: dict[int, int] = {}
-                    if scores.rare:
-                        for k in windows:
-                            for link in scores.rare.get(k, ()):
-                                times[link] = times.get(link, 0) + 1
-                    rare.append([{"key": k, "times": n} for k, n in times.items()])
-                width = IDS.itemsize
+            for k in range(batch.num_rows):
+                block = batch.slice(k, 1).to_pylist()[0]
+                sums, texts, rare = _block_scores(tool, block, sent.value)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0),
-                        part.column(1),
-                        pa.array([len(a) // width for a, _ in ids], pa.int64()),
-                        pa.array([len(b) // width for _, b in ids], pa.int64()),
-                        *[pa.array(sums[:, k], pa.int64()) for k in range(4)],
-                        pa.array([b";".join([scores.groups[k] for k in w]) for w in found], pa.binary()).cast(pa.string()),
+                        pa.array(np.arange(block["row"], block["row"] + len(texts))),
+                        pa.array(block["doc_ids"], pa.int64()),
+                        pa.array(_tokens(block, "a")),
+                        pa.array(_tokens(block, "b")),
+                        *[pa.array(np.ascontiguousarray(sums[:, c])) for c in range(4)],
+                        pa.array(texts, pa.binary()).cast(pa.string()),
                         pa.array(rare, pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))),
                     ],
-                    names=[f.split()[0] for f in _LINKED.split(", ")[:9]] + ["rare"],
+                    names=names,
                 )
-                if scores.windows.full():
-                    scores.empty()
 
-    return aligned.documents.select("row", "doc_id", "a", "b").mapInArrow(score, _LINKED)
+    return aligned.blocks.mapInArrow(score, _LINKED)
 
 
 def with_rare_links(found: DataFrame, aligned: Aligned) -> DataFrame:

@@ -18,9 +18,10 @@ from spendstar.session import shared_root
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-# Rows per Arrow batch for functions over whole texts: a batch of long documents
-# must fit in a Python worker.
+# Rows and bytes per Arrow batch for functions over whole texts: a batch of long
+# documents must fit in a Python worker.
 TEXT_BATCH_ROWS = 2000
+TEXT_BATCH_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -30,6 +31,7 @@ def prepare(spark: SparkSession) -> None:
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_root(spark) + "/checkpoints")
 
