@@ -23,78 +23,95 @@ METRICS = (("spend_dkk", "Spend"), ("ctr_pct", "CTR"), ("cost_per_conversion", "
 # -------------------------------------------------------------------------------
 
 
+MEASURES = ("spend_dkk", "clicks", "conversions", "impressions")
+
+
 def _sums() -> list:
-    return [
-        F.sum("spend_dkk").alias("_spend"),
-        F.sum("clicks").alias("_clicks"),
-        F.sum("conversions").alias("_conversions"),
-        F.sum("impressions").alias("_impressions"),
-    ]
+    return [F.sum(m).alias(m) for m in MEASURES]
 
 
 def _ratios() -> list:
     return [
-        ctr_pct(F.col("_clicks"), F.col("_impressions")).alias("ctr_pct"),
-        cost_per_conversion(F.col("_spend"), F.col("_conversions")).alias("cost_per_conversion"),
+        ctr_pct(F.col("clicks"), F.col("impressions")).alias("ctr_pct"),
+        cost_per_conversion(F.col("spend_dkk"), F.col("conversions")).alias("cost_per_conversion"),
     ]
 
 
+def _spend_of(column: str = "spend_dkk"):
+    return money_to_double(F.col(column)).alias("spend_dkk")
+
+
+def rollup(fact: DataFrame, dim_channel: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Sums by channel and month, from one scan of the fact: every mart adds up these few rows.
+
+    Facts whose channel or date does not resolve keep rows of their own (``has_channel``,
+    ``has_date``): the totals count them, the other marts do not.
+    """
+    ch = dim_channel.select("channel_key", "channel_group", "channel_name", F.lit(True).alias("has_channel"))
+    dd = dim_date.select("date_key", "year", "month", F.lit(True).alias("has_date"))
+    keys = ["has_channel", "channel_group", "channel_name", "has_date", "year", "month"]
+    return fact.join(ch, "channel_key", "left").join(dd, "date_key", "left").groupBy(*keys).agg(*_sums())
+
+
+def _nulls_last(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+
+
+def report_of(sums: DataFrame) -> DataFrame:
+    """The channel x month report from a roll-up."""
+    keys = ["channel_group", "channel_name", "year", "month"]
+    g = sums.where("has_channel and has_date").groupBy(*keys).agg(*_sums())
+    return _nulls_last(g.select(*keys, "spend_dkk", "clicks", "conversions", *_ratios()), *keys)
+
+
+def totals_of(sums: DataFrame) -> DataFrame:
+    """The totals from a roll-up or a fact."""
+    return sums.agg(*_sums()).select(_spend_of(), *_ratios(), F.col("conversions").cast("long").alias("conversions"))
+
+
+def channels_of(sums: DataFrame) -> DataFrame:
+    """The channel mart from a roll-up."""
+    keys = ["channel_group", "channel_name"]
+    g = sums.where("has_channel").groupBy(*keys).agg(*_sums())
+    counts = [F.col(c).cast("long").alias(c) for c in ("clicks", "conversions")]
+    return _nulls_last(g.select(*keys, _spend_of(), *counts, *_ratios()), *keys)
+
+
+def monthly_of(sums: DataFrame) -> DataFrame:
+    """The monthly mart from a roll-up."""
+    month = F.format_string("%04d-%02d", F.col("year"), F.col("month")).alias("year_month")
+    g = sums.where("has_date").groupBy(month).agg(*_sums())
+    return _nulls_last(g.select("year_month", _spend_of(), *_ratios()), "year_month")
+
+
+def _with_dimensions(fact: DataFrame, dim_channel: DataFrame | None, dim_date: DataFrame | None) -> DataFrame:
+    """The fact's measures beside the columns that the ``*_of`` functions group by."""
+    if dim_channel is not None:
+        ch = dim_channel.select("channel_key", "channel_group", "channel_name", F.lit(True).alias("has_channel"))
+        fact = fact.join(ch, "channel_key")
+    if dim_date is not None:
+        fact = fact.join(dim_date.select("date_key", "year", "month", F.lit(True).alias("has_date")), "date_key")
+    return fact
+
+
 def report_channel_month(fact: DataFrame, dim_channel: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Spend, clicks, conversions, CTR and cost per conversion by channel and month."""
-    ch = dim_channel.select("channel_key", "channel_group", "channel_name")
-    dd = dim_date.select("date_key", "year", "month")
-    g = (
-        fact.join(ch, "channel_key")
-        .join(dd, "date_key")
-        .groupBy("channel_group", "channel_name", "year", "month")
-        .agg(*_sums())
-    )
-    return g.select(
-        "channel_group",
-        "channel_name",
-        "year",
-        "month",
-        F.col("_spend").alias("spend_dkk"),
-        F.col("_clicks").alias("clicks"),
-        F.col("_conversions").alias("conversions"),
-        *_ratios(),
-    ).orderBy(*[F.col(c).asc_nulls_last() for c in ("channel_group", "channel_name", "year", "month")])
+    return report_of(_with_dimensions(fact, dim_channel, dim_date))
 
 
 def mart_totals(fact: DataFrame) -> DataFrame:
     """One row: total spend, blended CTR, cost per conversion, conversions."""
-    return fact.agg(*_sums()).select(
-        money_to_double(F.col("_spend")).alias("spend_dkk"),
-        *_ratios(),
-        F.col("_conversions").cast("long").alias("conversions"),
-    )
+    return totals_of(fact)
 
 
 def mart_channels(fact: DataFrame, dim_channel: DataFrame) -> DataFrame:
     """Per channel (and its group): spend, clicks, conversions, CTR, cost per conversion."""
-    ch = dim_channel.select("channel_key", "channel_group", "channel_name")
-    g = fact.join(ch, "channel_key").groupBy("channel_group", "channel_name").agg(*_sums())
-    return g.select(
-        "channel_group",
-        "channel_name",
-        money_to_double(F.col("_spend")).alias("spend_dkk"),
-        F.col("_clicks").cast("long").alias("clicks"),
-        F.col("_conversions").cast("long").alias("conversions"),
-        *_ratios(),
-    ).orderBy(F.col("channel_group").asc_nulls_last(), F.col("channel_name").asc_nulls_last())
+    return channels_of(_with_dimensions(fact, dim_channel, None))
 
 
 def mart_monthly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Per calendar month ``YYYY-MM``: spend, CTR, cost per conversion."""
-    dd = dim_date.select(
-        "date_key", F.format_string("%04d-%02d", F.col("year"), F.col("month")).alias("year_month")
-    )
-    g = fact.join(dd, "date_key").groupBy("year_month").agg(*_sums())
-    return g.select(
-        "year_month",
-        money_to_double(F.col("_spend")).alias("spend_dkk"),
-        *_ratios(),
-    ).orderBy(F.col("year_month").asc_nulls_last())
+    return monthly_of(_with_dimensions(fact, None, dim_date))
 
 
 def _long(wide: DataFrame, keys: list[str], labelled) -> DataFrame:

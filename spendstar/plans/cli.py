@@ -56,7 +56,7 @@ def report(spark: SparkSession, args: Arguments) -> None:
 def export(spark: SparkSession, args: Arguments) -> None:
     """Write the marts extract as JSON."""
     now = datetime.now(UTC).isoformat(timespec="seconds").replace("+00:00", "Z")
-    pipeline.export(spark, args.warehouse, args.out, now, args.seed)
+    pipeline.export(spark, args.warehouse, args.out, now, args.seed, single_file=not args.parts)
     print(args.out)
 
 
@@ -87,7 +87,14 @@ def build_parser() -> argparse.ArgumentParser:
         seed,
     )
     _command(commands, report, warehouse, ("--out", {"help": "CSV folder instead of text"}))
-    _command(commands, export, warehouse, out, ("--seed", {"type": int, "required": True}))
+    _command(
+        commands,
+        export,
+        warehouse,
+        out,
+        ("--seed", {"type": int, "required": True}),
+        ("--parts", {"action": "store_true", "help": "a folder of parts and a manifest instead of one file"}),
+    )
     return parser
 
 

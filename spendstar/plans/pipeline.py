@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
@@ -20,18 +21,14 @@ from pyspark.sql import functions as F
 from spendstar.operators.dimensions import build_dim_campaign, build_dim_channel, build_dim_date
 from spendstar.operators.fact import aggregate_grain, build_fact
 from spendstar.operators.keys import Keyed
-from spendstar.operators.marts import (
-    mart_channels,
-    mart_monthly,
-    mart_totals,
-    report_channel_month,
-)
+from spendstar.operators.marts import channels_of, monthly_of, report_channel_month, rollup, totals_of
 from spendstar.operators.quality import CheckResult, assert_quality, run_checks
 from spendstar.operators.silver import build_silver
 from spendstar.refdata import CHANNEL_GROUPS, FX_TO_DKK
 from spendstar.schemas import RAW_COLUMNS
-from spendstar.session import apply_runtime_conf
+from spendstar.session import apply_runtime_conf, scratch_path
 from spendstar.sources.extract import document_lines, write_extract
+from spendstar.sources.files import Files
 from spendstar.sources.landing import land, resolve_landing_uri
 from spendstar.sources.raw_csv import load_bronze
 from spendstar.sources.warehouse import Warehouse
@@ -174,10 +171,17 @@ def format_report(report_df: DataFrame) -> Iterator[str]:
         yield "\t".join("-" if v is None else str(v) for v in row)
 
 
-def _marts(spark: SparkSession, warehouse_uri: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+@contextmanager
+def _marts(spark: SparkSession, warehouse_uri: str) -> Iterator[tuple[DataFrame, DataFrame, DataFrame]]:
+    """Totals, channels and months of the published run, from one scan of its fact."""
     g = published_gold(spark, warehouse_uri)
-    fact = g["fact_campaign_performance"]
-    return mart_totals(fact), mart_channels(fact, g["dim_channel"]), mart_monthly(fact, g["dim_date"])
+    uri = scratch_path(spark, "rollup")
+    try:
+        rollup(g["fact_campaign_performance"], g["dim_channel"], g["dim_date"]).write.parquet(uri)
+        sums = spark.read.parquet(uri)
+        yield totals_of(sums), channels_of(sums), monthly_of(sums)
+    finally:
+        Files(spark).remove(uri)
 
 
 def build_marts(spark: SparkSession, warehouse_uri: str, generated_at: str, seed: int) -> dict:
@@ -186,17 +190,22 @@ def build_marts(spark: SparkSession, warehouse_uri: str, generated_at: str, seed
     For callers in Python: the dict has an entry per channel and per month.
     :func:`export` writes the same document without holding it.
     """
-    totals, channels, monthly = _marts(spark, warehouse_uri)
-    return {
-        "generated_at": generated_at,
-        "seed": int(seed),
-        "totals": totals.first().asDict(),
-        "channels": [r.asDict() for r in channels.toLocalIterator()],
-        "monthly": [r.asDict() for r in monthly.toLocalIterator()],
-    }
-
-
-def export(spark: SparkSession, warehouse_uri: str, out_uri: str, generated_at: str, seed: int) -> str:
-    """Write the extract of the published run to ``out_uri``; return that place."""
-    lines = document_lines(*_marts(spark, warehouse_uri), generated_at, seed)
-    return write_extract(spark, lines, out_uri)
+    with _marts(spark, warehouse_uri) as (totals, channels, monthly):
+        return {
+            "generated_at": generated_at,
+            "seed": int(seed),
+            "totals": totals.first().asDict(),
+            "channels": [r.asDict() for r in channels.toLocalIterator()],
+            "monthly": [r.asDict() for r in monthly.toLocalIterator()],
+        }
+
+
+def export(
+    spark: SparkSession, warehouse_uri: str, out_uri: str, generated_at: str, seed: int, *, single_file: bool = False
+) -> str:
+    """Write the extract of the published run to ``out_uri``; return that place.
+
+    In parts with a manifest, or as one plain file that other programs can read.
+    """
+    with _marts(spark, warehouse_uri) as marts:
+        return write_extract(spark, document_lines(*marts, generated_at, seed), out_uri, single_file)

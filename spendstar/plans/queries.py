@@ -90,6 +90,14 @@ class Build:
             self._gold = build_gold_from_grain(self.grain_table)
         return self._gold
 
+    def marts(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Totals, channels and months from one scan of the fact."""
+        uri = scratch_path(self.spark, "rollup")
+        g = self.gold
+        M.rollup(g.fact, g.dim_channel.df, g.dim_date).write.parquet(uri)
+        sums = self.spark.read.parquet(uri)
+        return M.totals_of(sums), M.channels_of(sums), M.monthly_of(sums)
+
     def totals(self) -> DataFrame:
         return M.mart_totals(self.gold.fact)
 
@@ -209,28 +217,27 @@ def q_kpi_long(spark, sf_dir):
     return M.kpi_long(Build(spark, sf_dir).totals())
 
 
-def _extract(spark, sf_dir) -> DataFrame:
-    """The extract, written and read back."""
+def _extract(spark, sf_dir) -> X.Extract:
+    """The extract, written in parts and read back."""
     b = Build(spark, sf_dir)
-    lines = X.document_lines(b.totals(), b.channels(), b.monthly(), GENERATED_AT, SEED)
-    uri = X.write_extract(spark, lines, scratch_path(spark, "extract") + "/marts.json")
-    return X.read_extract(spark, uri)
+    lines = X.document_lines(*b.marts(), GENERATED_AT, SEED)
+    return X.read_extract(spark, X.write_extract(spark, lines, scratch_path(spark, "extract")))
 
 
 def q_marts_document(spark, sf_dir):
-    return X.flattened(_extract(spark, sf_dir))
+    return _extract(spark, sf_dir).flattened()
 
 
 def q_marts_extract_totals(spark, sf_dir):
-    return _extract(spark, sf_dir).select("totals.*")
+    return _extract(spark, sf_dir).totals
 
 
 def q_marts_extract_channels(spark, sf_dir):
-    return _extract(spark, sf_dir).select(F.inline("channels"))
+    return _extract(spark, sf_dir).channels
 
 
 def q_marts_extract_monthly(spark, sf_dir):
-    return _extract(spark, sf_dir).select(F.inline("monthly"))
+    return _extract(spark, sf_dir).monthly
 
 
 # -- quality ----------------------------------------------------------------------
@@ -295,8 +302,7 @@ def q_spend_reconciliation(spark, sf_dir):
 
 
 def q_mart_reconciliation(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    return R.mart_reconciliation(b.totals(), b.channels(), b.monthly())
+    return R.mart_reconciliation(*Build(spark, sf_dir).marts())
 
 
 def q_fact_parity_diff(spark, sf_dir):

@@ -60,7 +60,7 @@ def test_report_and_export(spark, scratch):
     back = spark.read.option("header", True).csv(csv_uri)
     assert back.count() == len(rows) and back.columns[:2] == ["channel_group", "channel_name"]
     out = f"{scratch}/out/marts.json"
-    assert P.export(spark, wh, out, "2026-06-30T00:00:00Z", seed=31) == out
+    assert P.export(spark, wh, out, "2026-06-30T00:00:00Z", seed=31, single_file=True) == out
     doc = json.loads(open(out).read())
     assert P.build_marts(spark, wh, "2026-06-30T00:00:00Z", seed=31) == doc
     assert set(doc) == {"generated_at", "seed", "totals", "channels", "monthly"}
@@ -69,7 +69,13 @@ def test_report_and_export(spark, scratch):
     months = [m["year_month"] for m in doc["monthly"]]
     assert months == sorted(months) and months
     assert isinstance(doc["totals"]["conversions"], int)
-    assert read_extract(spark, out).count() == 1
+    P.export(spark, wh, f"{scratch}/out/parts", "2026-06-30T00:00:00Z", seed=31)
+    for place in (out, f"{scratch}/out/parts"):
+        back = read_extract(spark, place)
+        assert (back.generated_at, back.seed) == ("2026-06-30T00:00:00Z", 31)
+        assert [r.asDict() for r in back.channels.collect()] == doc["channels"]
+        assert [r.asDict() for r in back.monthly.collect()] == doc["monthly"]
+        assert back.totals.first().asDict() == doc["totals"]
 
 
 def test_extract_validator_rejects_bad_shape(spark, scratch):
