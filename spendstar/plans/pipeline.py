@@ -30,7 +30,7 @@ from spendstar.session import apply_runtime_conf, scratch_path
 from spendstar.sources.extract import document_lines, write_extract
 from spendstar.sources.files import Files
 from spendstar.sources.landing import land, resolve_landing_uri
-from spendstar.sources.raw_csv import load_bronze
+from spendstar.sources.raw_csv import check_credentials, load_bronze
 from spendstar.sources.warehouse import Warehouse
 
 
@@ -86,12 +86,14 @@ def run(
     ``multiline`` and ``credential_conf`` are options of ``read_raw_csv``.
     """
     apply_runtime_conf(spark)
+    landing_uri = resolve_landing_uri(spark, landing_uri)
+    for uri in (source_uri, landing_uri):
+        check_credentials(spark, uri or "", credential_conf)
     wh = Warehouse(spark, warehouse_uri)
     run_id = run_id or wh.new_run_id()
     wh.claim(run_id)
     reading = {"multiline": multiline, "credential_conf": credential_conf}
-    landing_uri = resolve_landing_uri(spark, landing_uri)
-    source = land(spark, source_uri, landing_uri, **reading) if landing_uri else source_uri
+    source = land(spark, source_uri, landing_uri) if landing_uri else source_uri
 
     bronze = wh.write(load_bronze(spark, source, **reading), run_id, "bronze", "campaign_events_raw")
     silver = wh.write(

@@ -27,7 +27,7 @@ CELLS = {
 }
 
 
-def _check_credentials(spark: SparkSession, uri: str, required_conf: str | None) -> None:
+def check_credentials(spark: SparkSession, uri: str, required_conf: str | None) -> None:
     """Fail early when an object-store URI is read without its credential setting."""
     if not uri.startswith(_OBJECT_STORE_PREFIXES) or required_conf is None:
         return
@@ -52,7 +52,7 @@ def read_raw_csv(
     object-store URI needs (for example an account key); it is checked up front.
     ``all_columns`` keeps columns beyond the known ones. ``with_file_path`` adds ``_source_file``: the file each row was read from.
     """
-    _check_credentials(spark, uri, credential_conf)
+    check_credentials(spark, uri, credential_conf)
     # A FAILFAST scan that prunes columns silently accepts ragged rows.
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     df = (

@@ -145,6 +145,7 @@ def test_cells_with_line_breaks_through_the_run(spark, scratch):
     with open(path, "w") as fh:
         fh.write(header + '\n2026-01-05,Email,CMP-1,"two\nlines",1,1,1.00,1,DKK\n')
     done = P.run(spark, path, f"{scratch}/wm", multiline=True, landing_uri=f"{scratch}/landm")
+    assert open(f"{scratch}/landm/multi.csv", "rb").read() == open(path, "rb").read()
     assert (done.bronze, done.silver) == (1, 1)
 
 
