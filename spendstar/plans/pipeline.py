@@ -13,10 +13,8 @@ from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spendstar.operators.dimensions import build_dim_campaign, build_dim_channel, build_dim_date
 from spendstar.operators.fact import aggregate_grain, build_fact
@@ -31,7 +29,7 @@ from spendstar.sources.extract import document_lines, write_extract
 from spendstar.sources.files import Files
 from spendstar.sources.landing import land, resolve_landing_uri
 from spendstar.sources.raw_csv import check_credentials, load_bronze
-from spendstar.sources.warehouse import Warehouse
+from spendstar.sources.warehouse import LAYER_TABLES, STAGING, Warehouse
 
 
 @dataclass
@@ -55,15 +53,6 @@ class RunSummary:
         return f"published {self.run_id} after {len(self.checks)} passed checks: {rows}"
 
 
-def _counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several tables in one job (one aggregate per branch)."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("t"), "n")
-        for name, df in tables.items()
-    ]
-    return {r["t"]: int(r["n"]) for r in reduce(DataFrame.unionByName, parts).collect()}
-
-
 def run(
     spark: SparkSession,
     source_uri: str,
@@ -91,20 +80,53 @@ def run(
         check_credentials(spark, uri or "", credential_conf)
     wh = Warehouse(spark, warehouse_uri)
     run_id = run_id or wh.new_run_id()
-    wh.claim(run_id)
     reading = {"multiline": multiline, "credential_conf": credential_conf}
-    source = land(spark, source_uri, landing_uri) if landing_uri else source_uri
-
-    bronze = wh.write(load_bronze(spark, source, **reading), run_id, "bronze", "campaign_events_raw")
-    silver = wh.write(
-        build_silver(bronze.select(*RAW_COLUMNS), rates), run_id, "silver", "campaign_events"
+    with wh.owning(run_id):
+        source = land(spark, source_uri, landing_uri) if landing_uri else source_uri
+        built = write_layers(wh, run_id, load_bronze(spark, source, **reading), rates, groups)
+        checks = assert_quality(built.checks())
+        if publish:
+            wh.publish(run_id)
+    counts = wh.row_counts(run_id)
+    return RunSummary(
+        run_id=run_id,
+        bronze=counts["bronze", "campaign_events_raw"],
+        silver=counts["silver", "campaign_events"],
+        gold={table: counts["gold", table] for table in LAYER_TABLES["gold"]},
+        checks=checks,
     )
 
+
+@dataclass(frozen=True)
+class Written:
+    """The written tables of a run that the gate reads."""
+
+    silver: DataFrame
+    silver_rows: int
+    gold: dict[str, DataFrame]
+
+    def checks(self) -> DataFrame:
+        g = self.gold
+        dims = [g[name] for name in ("dim_date", "dim_channel", "dim_campaign")]
+        return run_checks(self.silver, g["fact_campaign_performance"], *dims, silver_rows=self.silver_rows)
+
+
+def write_layers(
+    wh: Warehouse,
+    run_id: str,
+    raw: DataFrame,
+    rates: Mapping[str, float] = FX_TO_DKK,
+    groups: Mapping[str, str] = CHANNEL_GROUPS,
+) -> Written:
+    """Write all layers of a claimed run; ``wh.row_counts`` then has their rows, counted on the way."""
+    bronze = wh.write(raw, run_id, "bronze", "campaign_events_raw")
+    silver = wh.write(build_silver(bronze.select(*RAW_COLUMNS), rates), run_id, "silver", "campaign_events")
+
     # the grain aggregate (one scan of silver) feeds every gold table
-    staging = f"{wh.root}/runs/{run_id}/_staging"
+    staging = f"{wh.run_uri(run_id)}/{STAGING}"
     grain_uri = f"{staging}/grain"
     aggregate_grain(silver).write.mode("overwrite").parquet(grain_uri)
-    grain = spark.read.parquet(grain_uri)
+    grain = wh.spark.read.parquet(grain_uri)
 
     # dimensions first; the fact joins the written keys. The three dimension
     # writes are independent jobs, submitted together so the scheduler overlaps them.
@@ -118,33 +140,9 @@ def run(
         dim_channel = Keyed(f_ch.result(), ch.rows)
         dim_campaign = Keyed(f_cp.result(), cp.rows)
     fact = wh.write(build_fact(grain, dim_channel, dim_campaign), run_id, "gold", "fact_campaign_performance")
-
-    checks = assert_quality(
-        run_checks(silver, fact, dim_date, dim_channel.df, dim_campaign.df)
-    )
-    counts = _counts(
-        {
-            "bronze": bronze,
-            "silver": silver,
-            "dim_date": dim_date,
-            "fact_campaign_performance": fact,
-        }
-    )
-    wh.remove(staging)
-    if publish:
-        wh.publish(run_id)
-    return RunSummary(
-        run_id=run_id,
-        bronze=counts["bronze"],
-        silver=counts["silver"],
-        gold={
-            "dim_date": counts["dim_date"],
-            "dim_channel": dim_channel.rows,
-            "dim_campaign": dim_campaign.rows,
-            "fact_campaign_performance": counts["fact_campaign_performance"],
-        },
-        checks=checks,
-    )
+    rows = wh.row_counts(run_id)["silver", "campaign_events"]
+    tables = (dim_date, dim_channel.df, dim_campaign.df, fact)
+    return Written(silver, rows, dict(zip(LAYER_TABLES["gold"], tables, strict=True)))
 
 
 def published_gold(spark: SparkSession, warehouse_uri: str) -> dict[str, DataFrame]:

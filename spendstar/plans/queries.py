@@ -9,7 +9,6 @@ differ in precision between engines; the values do not).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +21,14 @@ from spendstar.operators import reconcile as R
 from spendstar.operators.fact import aggregate_grain, natural_fact, silver_sums
 from spendstar.operators.gold import Gold, build_gold_from_grain
 from spendstar.operators.silver import build_silver, dedup_stats, fx_rate, typed_events
+from spendstar.plans.pipeline import write_layers
 from spendstar.schemas import FACT_SCHEMA, SILVER_SCHEMA
 from spendstar.session import apply_runtime_conf, scratch_path
 from spendstar.sources import extract as X
 from spendstar.sources.landing import land, write_raw_csv
-from spendstar.sources.raw_csv import read_raw_csv
+from spendstar.sources.raw_csv import read_raw_csv, to_bronze
 from spendstar.sources.testdata import raw_events
+from spendstar.sources.warehouse import Warehouse
 
 # The hand-made orphan fact row used to prove the gate fails.
 ORPHAN_FACT_ROW = (99999999, -1, -1, 0, 0, "0.00", 0)
@@ -316,17 +317,13 @@ def q_fact_parity_diff(spark, sf_dir):
 
 
 def q_layer_row_counts(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    b.silver_table  # noqa: B018
-    tables = [("bronze", "campaign_events_raw", b.raw), ("silver", "campaign_events", b.silver_table)]
-    tables += [("gold", name, df) for name, df in b.gold.tables().items()]
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"
-        )
-        for layer, name, df in tables
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Rows of each table of a run, counted while its layers were written."""
+    apply_runtime_conf(spark)
+    wh, run_id = Warehouse(spark, scratch_path(spark, "warehouse")), "counted"
+    wh.claim(run_id)
+    write_layers(wh, run_id, to_bronze(raw_events(spark, sf_dir), sf_dir))
+    rows = [(layer, table, n) for (layer, table), n in wh.row_counts(run_id).items()]
+    return spark.createDataFrame(rows, "layer string, table_name string, row_count long")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

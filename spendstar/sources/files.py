@@ -38,9 +38,17 @@ class Files:
         fs.mkdirs(path)
 
     def create_new(self, uri: str, text: str = "") -> bool:
-        """Create a small file; False if it was there (of several callers one succeeds)."""
+        """Create a small file; of several callers exactly one succeeds, the others get False."""
         fs, path = self._path(uri)
         fs.mkdirs(path.getParent())
+        if path.toUri().getScheme() == "file":
+            # Hadoop's local file system looks first and creates afterwards; the platform's call does both at once
+            try:
+                with open(path.toUri().getPath(), "x") as out:
+                    out.write(text)
+            except FileExistsError:
+                return False
+            return True
         try:
             out = fs.create(path, False)
         except Exception as e:  # noqa: BLE001 - Py4J wraps the file system's error
@@ -53,6 +61,11 @@ class Files:
             out.close()
         return True
 
+    def time(self, uri: str) -> int:
+        """When a file was last written, in ms of the file system's own clock."""
+        fs, path = self._path(uri)
+        return fs.getFileStatus(path).getModificationTime()
+
     def listed(self, uri: str) -> list[tuple[str, bool, int, int]]:
         """(name, is a folder, bytes, time in ms) of a folder's entries."""
         fs, path = self._path(uri)
