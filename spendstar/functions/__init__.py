@@ -1,17 +1 @@
-"""Column expressions shared by the layers (all JVM built-ins, no UDFs)."""
-
-from spendstar.functions.exprs import (  # noqa: F401
-    ZS_CHARS,
-    canonical_name,
-    cost_per_conversion,
-    ctr_pct,
-    date_key,
-    money_to_double,
-    r2,
-    round_half_away,
-    safe_ratio,
-    to_date_strict,
-    to_double_strict,
-    to_int_strict,
-    trim_zs,
-)
+"""Column expressions."""

@@ -27,13 +27,42 @@ def trim_zs(c: Column | str) -> Column:
     return F.btrim(_col(c), F.lit(ZS_CHARS))
 
 
+# Word starts whose capital is one letter, not the several that full case mapping gives, or
+# not the title-case form. Rules: Georgian capitals lie 0xBC0 above; a letter that full
+# mapping would spell out stays as it is.
+_GEORGIAN = [*range(0x10D0, 0x10FB), *range(0x10FD, 0x1100)]
+_SPELLED_OUT = [chr(k) for k in range(0x80, 0xFB18) if len(chr(k).title()) > 1 and chr(k).lower() == chr(k)]
+# --- fixed values: capital sharp s and the digraphs' capitals ---
+_CAPITALS = {"ß": "ẞ", "ǆ": "Ǆ", "ǉ": "Ǉ", "ǌ": "Ǌ", "ǳ": "Ǳ"}
+# ----------------------------------------------------------------
+SPECIAL_CAPITALS = (
+    {c: c for c in _SPELLED_OUT} | {chr(k): chr(k + 0xBC0) for k in _GEORGIAN} | _CAPITALS
+)
+_SPECIAL = "".join(SPECIAL_CAPITALS)
+
+
 def canonical_name(c: Column | str) -> Column:
     """Title-case a free-text name: lower-case, trim, upper-case each word start.
 
     Words are split on single ASCII spaces only, so inner double spaces, tabs and
-    hyphens survive (``' PAID  search-ads'`` -> ``'Paid  Search-ads'``).
+    hyphens survive (``' PAID  search-ads'`` -> ``'Paid  Search-ads'``). Letters map one to
+    one, as in the source engine: no final sigma, no dot beside a lower-cased dotted I,
+    and capitals of one letter. Names with such letters take the way word by word.
     """
-    return F.initcap(trim_zs(_col(c)))
+    low = F.lower(trim_zs(F.translate(_col(c), "Σİ", "σi")))
+
+    def capitalised(word: Column) -> Column:
+        first = F.left(word, F.lit(1))
+        special = F.translate(first, _SPECIAL, "".join(SPECIAL_CAPITALS.values()))
+        return F.concat(F.when(_holds_special(first), special).otherwise(F.initcap(first)), F.substr(word, F.lit(2)))
+
+    by_word = F.array_join(F.transform(F.split(low, " "), capitalised), " ")
+    return F.when(_holds_special(low), by_word).otherwise(F.initcap(low))
+
+
+def _holds_special(text: Column) -> Column:
+    # plain ASCII, by far the most, is told by its length in bytes
+    return (F.octet_length(text) > F.length(text)) & (F.translate(text, _SPECIAL, "") != text)
 
 
 def round_half_away(y: Column) -> Column:
@@ -60,10 +89,11 @@ def r2(x: Column) -> Column:
 # no hexadecimal form.
 _NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _WORD = r"^[+-]?([nN][aA][nN]|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
-# Dates: year, month and day with one separator, then nothing or a time.
+# Dates: year, month and day with one separator, then nothing or a time of day.
 _DATE = (
     r"^([0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4,6}/[0-9]{1,2}/[0-9]{1,2})"
-    r"([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]+)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$"
+    r"([ T](([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9]([.][0-9]+)?)?|24:0?0(:0?0([.]0+)?)?)"
+    r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$"
 )
 
 
@@ -72,10 +102,27 @@ def _checked(text: Column, grammar: Column, what: str, value: Column) -> Column:
     return F.when(text.isNull() | grammar, value).otherwise(failed)
 
 
+def _ends(c: Column, first: str, last: str) -> Column:
+    """Whether the first character lies between the two of ``first``, the last between those of ``last``."""
+    return F.ascii(c).between(*map(ord, first)) & F.substring(c, -1, 1).between(*last)
+
+
+def _bare(c: Column) -> Column:
+    """Text without the separators that ``trim`` strips and the white space that casts skip."""
+    return F.btrim(c, F.lit(ZS_CHARS + "\t\n\x0b\x0c\r"))
+
+
 def to_double_strict(c: Column | str) -> Column:
-    """Text -> double; text that is not a plain number aborts the job."""
-    t = trim_zs(_col(c))
-    return _checked(t, t.rlike(_NUMBER) | t.rlike(_WORD), "number", t.cast("double"))
+    """Text -> double; text that is not a plain number aborts the job.
+
+    Text without letters that begins and ends as a number does is cast at once: the ANSI cast
+    then takes plain numbers and nothing else. The grammar is asked about the rest.
+    """
+    c = _col(c)
+    plain = _ends(c, "+9", ".9") & (F.lower(c) == F.upper(c))
+    t = _bare(c)
+    checked = _checked(t, t.rlike(_NUMBER) | t.rlike(_WORD), "number", t.cast("double"))
+    return F.when(plain, c.cast("double")).otherwise(checked)
 
 
 def to_int_strict(c: Column | str) -> Column:
@@ -88,10 +135,22 @@ def to_int_strict(c: Column | str) -> Column:
 
 
 def to_date_strict(c: Column | str) -> Column:
-    """Text -> date accepting ``2026-1-5``, ``2026/01/05`` and a trailing time; else abort."""
-    t = trim_zs(_col(c))
+    """Text -> date accepting ``2026-1-5``, ``2026/01/05`` and a trailing time of day; else abort.
+
+    Ten characters with hyphens in their places are cast at once: the ANSI cast takes
+    four, two and two digits there and nothing else.
+    """
+    c = _col(c)
+    plain = (
+        (F.length(c) == 10)
+        & (F.substring(c, 5, 1) == "-")
+        & (F.substring(c, 8, 1) == "-")
+        & _ends(c, "09", "09")
+    )
+    t = _bare(c)
     day = F.regexp_extract(t, r"^[0-9]+[-/][0-9]+[-/][0-9]+", 0)
-    return _checked(t, t.rlike(_DATE), "date", F.translate(day, "/", "-").cast("date"))
+    checked = _checked(t, t.rlike(_DATE), "date", F.translate(day, "/", "-").cast("date"))
+    return F.when(plain, c.cast("date")).otherwise(checked)
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

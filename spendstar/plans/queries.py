@@ -22,6 +22,7 @@ from spendstar.operators.fact import aggregate_grain, natural_fact, silver_sums
 from spendstar.operators.gold import Gold, build_gold_from_grain
 from spendstar.operators.silver import build_silver, dedup_stats, fx_rate, typed_events
 from spendstar.plans.pipeline import write_layers
+from spendstar.refdata import TITLE_LETTERS
 from spendstar.schemas import FACT_SCHEMA, SILVER_SCHEMA
 from spendstar.session import apply_runtime_conf, scratch_path
 from spendstar.sources import extract as X
@@ -148,6 +149,14 @@ def q_channel_canonical(spark, sf_dir):
     return pairs.groupBy("raw_channel", "channel").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_title_case_letters(spark, sf_dir):
+    """Canonical names of channels between letters whose case mapping engines differ in."""
+    raw = Build(spark, sf_dir).raw
+    letter = F.element_at(F.lit(list(TITLE_LETTERS)), F.col("clicks").cast("int") % len(TITLE_LETTERS) + 1)
+    names = raw.select(F.concat(letter, F.lit("a "), letter, F.col("channel"), F.lit(" o"), letter).alias("raw_name"))
+    return names.groupBy("raw_name", canonical_name("raw_name").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def q_fx_normalise(spark, sf_dir):
     raw = Build(spark, sf_dir).raw
     rate = fx_rate(F.col("currency"))
@@ -331,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_roundtrip": q_landing_roundtrip,
     "silver_typed": q_silver_typed,
     "channel_canonical": q_channel_canonical,
+    "title_case_letters": q_title_case_letters,
     "fx_normalise": q_fx_normalise,
     "silver_clean": q_silver_clean,
     "duplicate_rows_removed": q_duplicate_rows_removed,

@@ -53,3 +53,6 @@ def lookup(values: Mapping[str, object], key: Column, default: object) -> Column
     """
     pairs = [F.lit(x) for item in values.items() for x in item]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(default))
+
+# Letters whose full case mapping is not one to one, or differs by place in the word.
+TITLE_LETTERS = ("ß", "Σ", "ǆ", "ﬁ", "ŉ", "İ", "ა", "é", "Ǆ", "ΐ")

@@ -9,6 +9,7 @@ MONEY = T.DecimalType(14, 2)
 # Sums of money: a grain can hold more than a single event.
 MONEY_SUM = T.DecimalType(38, 2)
 
+# --- fixed values (names, order and types of every layer's columns: the table contract) ---
 RAW_COLUMNS = (
     "event_date",
     "channel",
@@ -160,3 +161,4 @@ MARTS_SCHEMA = T.StructType(
         T.StructField("monthly", T.ArrayType(MONTHLY_ROW_SCHEMA, True), True),
     ]
 )
+# ------------------------------------------------------------------------------------------

@@ -96,7 +96,7 @@ def test_cross_currency_twins_collapse(spark):
 def test_lenient_text(spark):
     rows = [row(impressions="12.5", clicks="-2.5", conversions="1e5", event_date="2026/01/05"),
             row(event_date="2026-1-5"), row(event_date="2026-01-05 10:00:00"),
-            row(event_date="\u3000 2026-01-05T10:00 ")]
+            row(event_date="\u3000 2026-01-05T10:00 "), row(event_date="\t2026-01-05\n", clicks="\t12\n")]
     t = typed_events(raw_df(spark, rows)).collect()
     assert (t[0].impressions, t[0].clicks, t[0].conversions) == (13, -3, 100000)
     assert {str(x.event_date) for x in t} == {"2026-01-05"}
@@ -109,7 +109,10 @@ def test_lenient_text(spark):
      dict(event_date="2026-01-05x"), dict(spend="inf"), dict(impressions="12d"), dict(impressions="12f"),
      dict(spend="0x1p3"), dict(spend="1.5F"), dict(spend="12D"), dict(event_date="2026-01-05 garbage"),
      dict(event_date="2026-01-05Tgarbage"), dict(event_date="2026-01-05 (BC)"), dict(event_date="+2026-01-05"),
-     dict(event_date="2026/01-05")],
+     dict(event_date="2026/01-05"), dict(event_date="2026-01-05 25:00:00"), dict(event_date="2026-01-05 99:99"),
+     dict(event_date="2026-01-05 10:60"), dict(event_date="2026-01-05 10:00:60"), dict(event_date="2026-01-0a"),
+     dict(event_date="2026-01-05 24:30"), dict(spend="1-2"), dict(spend="\x0112"), dict(spend="12\x01"), dict(clicks="1,5"),
+     dict(spend="."), dict(spend="+"), dict(clicks="1_0"), dict(event_date="2026--1-05"), dict(spend="1/2")],
 )
 def test_bad_text_fails_the_run(spark, bad):
     with pytest.raises(Exception):
@@ -139,3 +142,33 @@ def test_dedup_stats_counts_and_guards(spark):
     assert (r.valid_rows, r.silver_rows, r.duplicates_removed) == (3, 2, 1)
     with pytest.raises(Exception):
         dedup_stats(raw_df(spark, [row(spend="NaN")])).collect()
+
+
+def test_every_letter_is_capitalised_as_the_engine_does(spark):
+    """Each letter at a word's start and inside; letters newer than the engine's Unicode left out."""
+    newer = {0x19B, 0x264, 0x1C89, 0x1C8A, *range(0xA7CB, 0xA7CE), *range(0xA7DA, 0xA7DD), *range(0x10D50, 0x10D86)}
+    points = [k for k in range(1, 0x1E944) if not 0xD800 <= k <= 0xDFFF and k not in newer]
+    texts = [f"{chr(k)}{chr(k)}a X{chr(k)} {chr(k)}" for k in points]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.canonical_name("t").alias("c")).toPandas()
+    con = duckdb.connect()
+    con.register("got", got)
+    sql = (
+        "select t, c, array_to_string(list_transform(string_split(trim(lower(t)), ' '), "
+        "lambda x: upper(left(x, 1)) || substr(x, 2)), ' ') as want from got"
+    )
+    assert con.execute(f"select * from ({sql}) where c <> want").fetchall() == []
+    assert len(got) == len(texts)
+
+
+@pytest.mark.parametrize("text", ["24:00", "24:00:00", "24:00:01", "24:01", "23:59:59.9", "0:0", "7:8:9", "23:60", "99:99"])
+def test_clock_ranges_equal_the_engine(spark, text):
+    try:
+        want = duckdb.connect().execute("select cast(? as date)", [f"2026-01-05 {text}"]).fetchone()[0]
+    except duckdb.Error:
+        want = None
+    df = spark.createDataFrame([(f"2026-01-05 {text}",)], "t string").select(X.to_date_strict("t").alias("d"))
+    if want is None:
+        with pytest.raises(Exception):
+            df.collect()
+    else:
+        assert df.first().d == want
