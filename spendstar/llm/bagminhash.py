@@ -183,11 +183,6 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def short_signatures(values: np.ndarray) -> np.ndarray:
-    """One byte per component, to estimate similarities."""
-    return (mix(values.view(np.uint64)) & np.uint64(0xFF)).astype(np.uint8)
-
-
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of two sorted sets (two empty sets: 1)."""
     if len(a) > len(b):

@@ -158,21 +158,19 @@ def build(vectors: np.ndarray, seed: int = 11) -> Graph:
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, v) of the rows that take part; v is an array of doubles."""
     v = vectors[vector_col].cast("array<double>")
-    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), v.alias("v")).where(
+    return vectors.select(vectors[id_col].cast("long").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull()
         & F.col("v").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0)
     )
-    widths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (widths["d"] if widths else 0))
 
 
 _INDEX = "shard int, n long, width int, vectors binary, ids binary, ends binary, levels binary, links binary"
 
 
 def build_index(rows: DataFrame, k: int, per_shard: int = PER_SHARD) -> DataFrame:
-    """One row per shard with its graph; ``rows`` are (vec_id, v)."""
+    """One row per shard with its graph; ``rows`` are (vec_id, v). Vectors of one length share shards."""
     # -0.0 + 0.0 = 0.0: equal vectors have equal bits
     rows = rows.select("vec_id", F.transform("v", lambda x: x + F.lit(0.0)).alias("v")).distinct()
     # the k + 1 smallest ids of a vector, first within a part of its rows
@@ -187,7 +185,9 @@ def build_index(rows: DataFrame, k: int, per_shard: int = PER_SHARD) -> DataFram
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
         .checkpoint()
     )
-    shards = max(1, -(-owners.count() // per_shard))
+    width = F.size("v")
+    # a row per length of vectors
+    sizes = owners.groupBy(width.alias("width")).agg(F.ceil(F.count("*") / per_shard).alias("shards"))
 
     def make(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.assign(lead=[int(i[0]) for i in batch["ids"]]).sort_values("lead")
@@ -207,8 +207,9 @@ def build_index(rows: DataFrame, k: int, per_shard: int = PER_SHARD) -> DataFram
             }
         )
 
-    shard = F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")
-    return owners.withColumn("shard", shard).groupBy("shard").applyInPandas(make, _INDEX)
+    shard = F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")
+    placed = owners.withColumn("width", width).join(F.broadcast(sizes), "width").withColumn("shard", shard)
+    return placed.select("width", "shard", "v", "ids").groupBy("width", "shard").applyInPandas(make, _INDEX)
 
 
 def load_graph(row) -> tuple[Graph, np.ndarray, np.ndarray]:
@@ -243,12 +244,14 @@ def nearest(
     queries = rows.where(is_query).distinct()
     n_queries = queries.count()
     blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    shards = index.select("shard").distinct()
     marked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    # each block goes to each shard
-    numbers = [r["shard"] for r in shards.collect()]
+    # each block goes to each shard of vectors of its queries' length
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = marked.withColumn("shard", F.explode(F.lit(numbers or [-1])))
+    right = (
+        marked.withColumn("width", F.size("v"))
+        .join(F.broadcast(index.groupBy("width").agg(F.collect_set("shard").alias("numbers"))), "width")
+        .select("vec_id", "v", "block", "width", F.explode("numbers").alias("shard"))
+    )
 
     def search(key, shard_rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -269,8 +272,8 @@ def nearest(
         )
 
     found = (
-        left.groupBy("shard", "block")
-        .cogroup(right.groupBy("shard", "block"))
+        left.groupBy("width", "shard", "block")
+        .cogroup(right.groupBy("width", "shard", "block"))
         .applyInPandas(search, "query_id long, score double, vec_id long")
     )
     # one id may stand on several rows with different vectors: the nearest counts

@@ -23,7 +23,6 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,8 +42,6 @@ BATCH = 96
 LEARNING_RATE = 0.03
 BLOCK = 4096  # segments that go through the network at once
 UNDETERMINED = "und"
-
-_LETTER = re.compile(r"[^\W\d_]")
 # Bytes whose positions are pooled: ASCII letters and bytes of longer characters.
 _POOLED = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
@@ -203,12 +200,17 @@ def _segments(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return seg, np.repeat(np.arange(len(data)), count)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter of any script (no number sign such as a half or a Roman numeral)."""
+    return any(map(str.isalpha, text))
+
+
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text; every byte goes through the network."""
     out = np.zeros(len(texts))
     names = [UNDETERMINED] * len(texts)
     k = len(model.languages)
-    lettered = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+    lettered = [i for i, t in enumerate(texts) if t is not None and has_letter(t)]
     if not k or not lettered:
         return names, out
     w = model.weights

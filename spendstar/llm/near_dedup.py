@@ -15,8 +15,8 @@ threshold is found with probability 0.99995.
    salted, so a centre with very many partners is spread over tasks.
 3. Links found so far join nodes to components. Buckets whose nodes lie in more than
    one component are searched for the missing links: pairs of different components
-   whose first common band is the bucket's are estimated by their signatures and,
-   if they may reach the threshold, compared exactly. Links inside a component are
+   whose first common band is the bucket's are compared exactly if their sizes, and
+   the counts of their elements by bin, do not rule the threshold out. Links inside a component are
    not needed; of those between components one is enough. Large buckets are cut
    into blocks and each pair of blocks is a task of its own.
 4. Components of all links give the classes. Only links, never all pairs, are
@@ -47,9 +47,8 @@ THRESHOLD = 0.8
 PER_TASK = 512
 # Nodes of a block of a large bucket.
 BLOCK = 2048
-# Equal components from which a pair is compared exactly: 3.8 standard deviations below the
-# mean at the threshold.
-LEAST_EQUAL = int(bag.SIZE * THRESHOLD - 3.8 * (bag.SIZE * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+# Bins of the counts that bound from above how many elements two multisets share.
+BIN_BITS = 10
 NO_ID = (1 << 63) - 1
 
 _HASHES: list[bag.WordHashes] = []
@@ -78,7 +77,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, key, digest, bands, sketch) of every row."""
+    """(doc_id, id, key, digest, bands) of every row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
@@ -88,7 +87,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 owner, h = bag.shingles(texts, hashes)
                 high, low = bag.digests(n, *bag.expanded(owner, h))
                 values = bag.signatures(n, *bag.counted(owner, h))
-                keys, sketch = bag.band_keys(values), bag.short_signatures(values)
+                keys = bag.band_keys(values)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -98,13 +97,12 @@ def signed(docs: DataFrame) -> DataFrame:
                         pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), bag.BANDS).cast(
                             pa.list_(pa.int64())
                         ),
-                        pa.array([row.tobytes() for row in sketch], pa.binary()),
                     ],
-                    names=["doc_id", "id", "key", "digest", "bands", "sketch"],
+                    names=["doc_id", "id", "key", "digest", "bands"],
                 )
 
     return _keyed(docs).mapInArrow(
-        sign, "doc_id long, id long, key long, digest string, bands array<long>, sketch binary"
+        sign, "doc_id long, id long, key long, digest string, bands array<long>"
     )
 
 
@@ -186,9 +184,10 @@ def _search_block(rows: pd.DataFrame) -> pd.DataFrame:
     bucket = rows["bucket"].iloc[0]
     nodes = rows["node"].to_numpy()
     bands = np.stack(rows["bands"].to_numpy())
-    sketch = np.stack([np.frombuffer(s, np.uint8) for s in rows["sketch"]])
     sets = [np.frombuffer(e, np.uint64) for e in rows["elements"]]
     sizes = np.array([len(s) for s in sets])
+    bins = np.stack([np.bincount((s >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS) for s in sets])
+    bins = bins.astype(np.int32)
     block = rows["block"].to_numpy()
     cross = rows["x"].iloc[0] != rows["y"].iloc[0]
     band = int(np.flatnonzero(bands[0] == bucket)[0])
@@ -206,7 +205,9 @@ def _search_block(rows: pd.DataFrame) -> pd.DataFrame:
         if band and len(at):
             at = at[~(bands[at, :band] == bands[i, :band]).any(axis=1)]
         if len(at):
-            at = at[(sketch[at] == sketch[i]).sum(axis=1) >= LEAST_EQUAL]
+            # a bin's smaller count bounds what the two share there
+            most = np.minimum(bins[at], bins[i]).sum(axis=1)
+            at = at[most * (1 + THRESHOLD) >= THRESHOLD * (sizes[at] + sizes[i]) - 1e-6]
         for j in at:
             if group[i] != group[j] and bag.similarity(sets[i], sets[j]) >= THRESHOLD:
                 group[group == group[j]] = group[i]
@@ -215,11 +216,11 @@ def _search_block(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """One row per digest: node (a number), the row that stands for it, bands, sketch, copies."""
+    """One row per digest: node (a number), the row that stands for it, bands, copies."""
     return (
         rows.groupBy("digest")
         .agg(
-            F.min_by(F.struct("id", "key", "bands", "sketch"), F.struct("id", "key")).alias("r"),
+            F.min_by(F.struct("id", "key", "bands"), F.struct("id", "key")).alias("r"),
             F.count("*").alias("copies"),
         )
         .select(F.monotonically_increasing_id().alias("node"), "digest", "r.*", "copies")
@@ -247,6 +248,8 @@ def find_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         nodes.join(busy.select("node"), "node", "left_semi")
         .select("node", "id", "key")
         .join(_keyed(docs).select("id", "key", "text"), ["id", "key"])
+        # repeated rows give one bag; the join has dealt them by these columns already
+        .dropDuplicates(["id", "key"])
     )
     bags = _bags(texts).checkpoint()
 
@@ -290,7 +293,7 @@ def find_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         .withColumn("block", block)
         .withColumn("pair", F.explode(pairs))
         .select("bucket", "node", "label", "block", "pair.x", "pair.y")
-        .join(nodes.select("node", "bands", "sketch"), "node")
+        .join(nodes.select("node", "bands"), "node")
         .join(bags, "node")
     )
     second = tasks.groupBy("bucket", "x", "y").applyInPandas(_search_block, "a long, b long")

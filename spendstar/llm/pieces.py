@@ -3,7 +3,8 @@
 The search runs over the characters of a normalised text and keeps, for each
 boundary of the last ``longest piece`` characters, its best path and a back
 pointer. Whenever all these paths run through one boundary, the ids before it are
-committed and forgotten, so memory follows the longest piece and not the text.
+committed and forgotten, so memory follows the longest piece and the stretch over which
+paths do not converge, not the text.
 
 For unigram models the best path has the largest sum of scores. For BPE models a
 sum of scores would give other ids than the merges do, so a path is *valid* instead
@@ -43,7 +44,7 @@ MAX_CACHED_CHARS = 48
 # Score below the worst piece's for a character without a piece (unigram models; fixed value).
 UNKNOWN_PENALTY = 10.0
 
-_NORMAL, _UNKNOWN, _BYTE, _BPE = 1, 2, 6, 2
+_NORMAL, _UNKNOWN, _USER_DEFINED, _BYTE, _BPE = 1, 2, 4, 6, 2
 
 
 class PieceModel:
@@ -54,6 +55,8 @@ class PieceModel:
 
         with open(path, "rb") as f:
             proto = pb.ModelProto.FromString(f.read())
+        if any(p.type == _USER_DEFINED for p in proto.pieces):
+            raise ValueError("models with user-defined pieces are not supported")
         norm = proto.normalizer_spec
         if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces:
             raise ValueError("only models with an identity normaliser are supported")
@@ -128,7 +131,8 @@ class Stream:
         self.text = ""  # characters since the last commit
 
     def feed(self, chars: str) -> None:
-        window = 4 * self.model.longest
+        # while fewer characters are held, a piece may still begin at the first boundary
+        window = self.model.longest
         extend = self._extend_valid if self.model.bpe else self._extend_best
         at = 0
         while at < len(chars):

@@ -39,6 +39,8 @@ RIDGE = 1.0
 THRESHOLD = 0.5
 # Bounds of a prior's weight, in documents.
 LEAST_WEIGHT, MOST_WEIGHT = 2.0, 10_000.0
+# Sites up to which their rates are sent to all workers (some 100 bytes each); more are joined.
+SITES_HELD = 200_000
 
 _CLASSES = {
     "upper": range(65, 91),
@@ -186,6 +188,7 @@ class Sites:
     rate: float
     host_weight: float
     path_weight: float
+    number: int
 
 
 def site_rates(judged: DataFrame) -> Sites:
@@ -216,6 +219,7 @@ def site_rates(judged: DataFrame) -> Sites:
         rate,
         host_weight,
         path_weight,
+        paths.count(),
     )
 
 
@@ -230,7 +234,7 @@ def with_posterior(judged: DataFrame, sites: Sites, base_rate: float) -> DataFra
         F.col("host").alias("__host"), F.col("path").alias("__path"), "host_rate", "path_rate"
     )
     joined = judged.join(
-        known,
+        F.broadcast(known) if sites.number <= SITES_HELD else known,
         judged["host"].eqNullSafe(F.col("__host")) & judged["path"].eqNullSafe(F.col("__path")),
         "left",
     ).drop("__host", "__path")

@@ -278,8 +278,17 @@ def test_streaming_search_commits_and_scores():
     for _ in range(200):
         text = "".join(rng.choice(["a", "b"], rng.integers(1, 40)))
         stream = pieces.Stream(model)
+        for c in text:
+            stream.feed(c)
+            # nothing that all surviving paths share is left uncommitted
+            end = len(stream.text)
+            alive = [k for k in range(max(0, end - model.longest + 1), end + 1) if stream.back[k] is not None]
+            assert max(set.intersection(*[set(stream._path(k)) for k in alive])) == 0
+        whole = pieces.Stream(model)
+        whole.feed(text)
+        assert whole.finish() == stream.finish()
+        stream = pieces.Stream(model)
         stream.feed(text)
-        assert len(stream.back) <= 4 * model.longest + 1
         got = sum(model.score_of[i] for i in stream.finish())
         best = [0.0]
         for j in range(1, len(text) + 1):
