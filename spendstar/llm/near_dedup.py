@@ -48,7 +48,7 @@ PER_TASK = 512
 # Nodes of a block of a large bucket.
 BLOCK = 2048
 # Bins of the counts that bound from above how many elements two multisets share.
-BIN_BITS = 10
+BIN_BITS = 8
 NO_ID = (1 << 63) - 1
 
 _HASHES: list[bag.WordHashes] = []
@@ -107,12 +107,19 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _bags(rows: DataFrame) -> DataFrame:
-    """(node, elements) of rows (node, text): the sorted elements of the multiset, as bytes."""
+    """(node, elements) of rows (node, text): the sorted elements of the multiset, as bytes; a task makes one a node."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
+        made: set[int] = set()
         for batch in batches:
-            for part, texts in _parts(batch):
+            # the join brings a text's repeated rows to one task (or few): one bag each is enough
+            new = []
+            for k, node in enumerate(batch.column(0).to_pylist()):
+                if node not in made:
+                    made.add(node)
+                    new.append(k)
+            for part, texts in _parts(batch.take(pa.array(new, pa.int64())) if len(new) < batch.num_rows else batch):
                 owner, h = bag.expanded(*bag.shingles(texts, hashes))
                 cut = np.searchsorted(owner, np.arange(len(texts) + 1))
                 out = [h[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
@@ -186,8 +193,9 @@ def _search_block(rows: pd.DataFrame) -> pd.DataFrame:
     bands = np.stack(rows["bands"].to_numpy())
     sets = [np.frombuffer(e, np.uint64) for e in rows["elements"]]
     sizes = np.array([len(s) for s in sets])
-    bins = np.stack([np.bincount((s >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS) for s in sets])
-    bins = bins.astype(np.int32)
+    bins = np.empty((len(sets), 1 << BIN_BITS), np.int32)
+    for k, s in enumerate(sets):
+        bins[k] = np.bincount((s >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS)
     block = rows["block"].to_numpy()
     cross = rows["x"].iloc[0] != rows["y"].iloc[0]
     band = int(np.flatnonzero(bands[0] == bucket)[0])
@@ -206,7 +214,7 @@ def _search_block(rows: pd.DataFrame) -> pd.DataFrame:
             at = at[~(bands[at, :band] == bands[i, :band]).any(axis=1)]
         if len(at):
             # a bin's smaller count bounds what the two share there
-            most = np.minimum(bins[at], bins[i]).sum(axis=1)
+            most = np.concatenate([np.minimum(bins[at[k : k + 128]], bins[i]).sum(axis=1) for k in range(0, len(at), 128)])
             at = at[most * (1 + THRESHOLD) >= THRESHOLD * (sizes[at] + sizes[i]) - 1e-6]
         for j in at:
             if group[i] != group[j] and bag.similarity(sets[i], sets[j]) >= THRESHOLD:
@@ -248,8 +256,6 @@ def find_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         nodes.join(busy.select("node"), "node", "left_semi")
         .select("node", "id", "key")
         .join(_keyed(docs).select("id", "key", "text"), ["id", "key"])
-        # repeated rows give one bag; the join has dealt them by these columns already
-        .dropDuplicates(["id", "key"])
     )
     bags = _bags(texts).checkpoint()
 

@@ -81,13 +81,14 @@ def test_many_repeated_rows_give_one_bag_each(spark):
     prepare(spark)
     seen = []
     bags = near_dedup._bags
-    near_dedup._bags = lambda rows: seen.append(rows.count()) or bags(rows)
+    near_dedup._bags = lambda rows: seen.append(bags(rows)) or seen[0]
     try:
         out = near_dedup.near_duplicates(rows)
         assert out.count() == 10_001 and out.select("class_id").distinct().count() == 1
     finally:
         near_dedup._bags = bags
-    assert seen == [2]
+    # at most one a task, not one a row
+    assert 2 <= seen[0].count() <= 2 * seen[0].rdd.getNumPartitions()
 
 
 def test_bins_never_rule_a_similar_pair_out():
