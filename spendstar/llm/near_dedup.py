@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,8 @@ from spendstar.llm.common import prepare
 THRESHOLD = 0.8
 # Partners of a centre that are compared in one task.
 PER_TASK = 512
+# Bytes of texts whose shingles are signed at once.
+PART_BYTES = 1 << 20
 # Nodes of a block of a large bucket.
 BLOCK = 2048
 # Bins of the counts that bound from above how many elements two multisets share.
@@ -71,9 +74,16 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    for lo in range(0, batch.num_rows, bag.MOST_TEXTS):
-        part = batch.slice(lo, bag.MOST_TEXTS)
-        yield part, part.column(part.schema.get_field_index("text")).to_pylist()
+    """Parts of a batch whose working arrays are bounded: few texts, and few bytes beside a single long text."""
+    column = batch.schema.get_field_index("text")
+    lo = size = 0
+    for hi, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        if hi > lo and (size + n > PART_BYTES or hi - lo == bag.MOST_TEXTS):
+            yield batch.slice(lo, hi - lo), batch.column(column).slice(lo, hi - lo).to_pylist()
+            lo, size = hi, 0
+        size += n
+    if batch.num_rows:
+        yield batch.slice(lo), batch.column(column).slice(lo).to_pylist()
 
 
 def signed(docs: DataFrame) -> DataFrame:
