@@ -2,15 +2,16 @@
 
 Tokens are the words of the text (lower-cased A-Z, split at ASCII white space) and
 one end. All training texts are counted: words exactly, and pairs of neighbouring
-tokens by a 64-bit key. A count c is kept as its level 1 + floor(log_b(c / c0)),
-and the filter holds an n-gram of level q as the q items (n-gram, 1) ... (n-gram, q):
+tokens by a 64-bit key. A count c is kept as its level 1 + floor(log_b c), less the
+levels below it that hold no whole number, and the filter holds an n-gram of level q as the q items (n-gram, 1) ... (n-gram, q):
 its level is read back by probing for 1, 2, ... until an item is missing, so a
 count is never read too low, and too high with small probability.
 
 The filter holds every word and every pair, those seen once too. Its size follows the
-corpus: the items are counted, and it has ``PROBES / ln 2`` bits for each, in segments
+corpus: the items are counted, and it has ``ITEM_BITS`` bits for each, in segments
 of about ``SEGMENT_BITS``; all bits of an n-gram lie in one segment, which one task
-fills. Inside a segment an n-gram goes by 32 bits of its key (a segment has far fewer
+fills. The ``PROBES`` bits of an item lie in one block of as many 32-bit words, one in
+each word, so a look-up reads one line of memory. Inside a segment an n-gram goes by 32 bits of its key (a segment has far fewer
 n-grams than that tells apart). Texts are read in chunks of about ``CHUNK`` tokens. A
 filter of at most ``HELD_BITS`` is sent to the workers, which look up a chunk's distinct
 keys in it; of a larger one no process holds more than a segment: the distinct keys of
@@ -50,6 +51,8 @@ END = b"\n"  # no word holds a line break
 SEGMENT_BITS = 1 << 22
 HELD_BITS = 1 << 30
 PROBES = 8
+ITEM_BITS = 12
+_BLOCK = 32 * PROBES  # bits
 BASE = 2.0**0.5
 ADDED = 8.0
 FREQUENT = 1 << 19
@@ -57,6 +60,7 @@ CHUNK = 1 << 19
 _KIND = {"word": 1, "pair": 2}
 MOST_LEVELS = 128
 _FLUSH = 4_000_000
+_READ = 1 << 15  # keys looked up at a time
 _DEALT = 1_000_000
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -164,19 +168,28 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush(keys)
 
 
+def _bounds(power: int) -> tuple[int, int]:
+    """The least and greatest whole number from ``BASE ** power`` to below the next power."""
+    return math.ceil(BASE**power - 1e-6), math.ceil(BASE ** (power + 1) - 1e-6) - 1
+
+
+# powers of the base from which to the next no whole number lies
+_EMPTY = [p for p in range(MOST_LEVELS) if _bounds(p)[0] > _bounds(p)[1]]
+
+
 def level(count: Column) -> Column:
     """Level of a count that is at least 1."""
-    q = 1 + F.floor(F.log(count) / math.log(BASE) + 1e-9)
+    power = F.floor(F.log(count) / math.log(BASE) + 1e-9)
+    q = 1 + power
+    for p in _EMPTY:
+        q = q - F.when(power > p, 1).otherwise(0)
     return F.least(q, F.lit(MOST_LEVELS)).cast("int")
 
 
 def _values() -> np.ndarray:
     """The count that each level stands for (0: none): the middle of its whole numbers, in logarithms."""
-    out = np.zeros(MOST_LEVELS + 1)
-    for q in range(1, MOST_LEVELS + 1):
-        low, high = math.ceil(BASE ** (q - 1) - 1e-6), math.ceil(BASE**q - 1e-6) - 1
-        out[q] = math.sqrt(low * high) if low <= high else out[q - 1]
-    return out
+    powers = [p for p in range(MOST_LEVELS + len(_EMPTY)) if p not in _EMPTY][:MOST_LEVELS]
+    return np.array([0.0, *[math.sqrt(math.prod(_bounds(p))) for p in powers]])
 
 
 VALUES = _values()
@@ -199,15 +212,15 @@ def _by_segment(key: np.ndarray, segments: int) -> tuple[np.ndarray, list[tuple[
     return order, list(zip(numbers.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(key)], strict=True))
 
 
-def _item(short: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two hashes of the items (short key, q) that their bit places follow from."""
-    z = _mix(_mix(short.astype(np.uint64)) + np.uint64(q) * _GOLD)
-    return z, _mix(z ^ _C2) | np.uint64(1)
+def _item(mixed: np.ndarray, q: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The blocks, inside their segment, of the items (short key as ``_mix`` gives it, q), and what their bits follow from."""
+    z = _mix(mixed + np.uint64(q) * _GOLD)
+    block = ((z >> np.uint64(32)) * np.uint64(bits // _BLOCK)) >> np.uint64(32)
+    return block.astype(np.int64), (z & _LOW).astype(np.uint32)
 
 
-def _place(z: np.ndarray, step: np.ndarray, k: int, bits: int) -> np.ndarray:
-    """Bit place, inside its segment, of probe ``k``."""
-    return (((z + step * np.uint64(k)) >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
+with np.errstate(over="ignore"):
+    _SALTS = (_mix(np.arange(1, PROBES + 1, dtype=np.uint64) * _GOLD) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def typed_key(key: np.ndarray, kind: str) -> np.ndarray:
@@ -215,23 +228,30 @@ def typed_key(key: np.ndarray, kind: str) -> np.ndarray:
     return _mix(key + np.uint64(_KIND[kind]) * _GOLD)
 
 
-def read_levels(data: np.ndarray, bits: int, short: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
-    """Levels of items (short keys) of one segment, or of segments that start at ``start``, by probing 1, 2, ... until an item is missing."""
+def read_levels(data: np.ndarray, bits: int, short: np.ndarray, segment: np.ndarray | None = None) -> np.ndarray:
+    """Levels of items (short keys) by probing 1, 2, ... until an item is missing.
+
+    ``data`` are the 64-bit words of one segment, or of all segments one after another, ``segment`` then says
+    which one an item belongs to.
+    """
+    blocks = data.reshape(-1, _BLOCK // 64)
     out = np.zeros(len(short), np.uint8)
-    alive = np.arange(len(short))
     with np.errstate(over="ignore"):
-        for q in range(1, MOST_LEVELS + 1):
-            if not len(alive):
-                break
-            z, step = _item(short[alive], q)
-            hit = np.arange(len(alive))
-            for k in range(1, PROBES + 1):  # an item goes on only while its bits are set
-                bit = _place(z[hit], step[hit], k, bits)
-                if start is not None:
-                    bit += start[alive[hit]]
-                hit = hit[(data[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
-            alive = alive[hit]
-            out[alive] = q
+        for lo in range(0, len(short), _READ):
+            part = slice(lo, lo + _READ)
+            mixed = _mix(short[part].astype(np.uint64))
+            first = None if segment is None else segment[part].astype(np.int64) * (bits // _BLOCK)
+            alive = np.arange(len(mixed))
+            for q in range(1, MOST_LEVELS + 1):
+                if not len(alive):
+                    break
+                block, z = _item(mixed, q, bits)
+                mask = (np.uint32(1) << ((z[:, None] * _SALTS) >> np.uint32(27))).view(np.uint64)
+                missing = mask & ~blocks[block if first is None else block + first]
+                hit = np.flatnonzero(np.bitwise_or.reduce(missing.T, axis=0) == 0)
+                alive, mixed = alive[hit], mixed[hit]
+                first = None if first is None else first[hit]
+                out[lo + alive] = q
     return out
 
 
@@ -245,10 +265,10 @@ class Filter:
 
     def held(self) -> np.ndarray:
         """All segments, one after another."""
-        size = self.bits // 8
-        out = np.zeros(self.segments * size, np.uint8)
+        size = self.bits // 64
+        out = np.zeros(self.segments * size, np.uint64)
         for r in self.rows.toLocalIterator():
-            out[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["data"], np.uint8)
+            out[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["data"], np.uint64)
         return out
 
     def counts(self, key: np.ndarray, kind: str) -> np.ndarray:
@@ -259,7 +279,7 @@ class Filter:
         out = np.zeros(len(key))
         for r in self.rows.where(F.col("segment").isin(np.unique(segment).tolist())).toLocalIterator():
             at = np.flatnonzero(segment == r["segment"])
-            out[at] = VALUES[read_levels(np.frombuffer(r["data"], np.uint8), self.bits, _short(typed[at]))]
+            out[at] = VALUES[read_levels(np.frombuffer(r["data"], np.uint64), self.bits, _short(typed[at]))]
         return out
 
 
@@ -269,9 +289,9 @@ def build_filter(words: DataFrame, pairs: DataFrame) -> Filter:
     for kind, df, key in (("word", words, "h"), ("pair", pairs, "pair")):
         part = df.select(F.col(key).alias("key"), F.lit(_KIND[kind]).alias("kind"), level(F.col("c")).alias("q"))
         items = part if items is None else items.unionByName(part)
-    wanted = (items.agg(F.sum("q")).first()[0] or 0) * PROBES / math.log(2)
+    wanted = (items.agg(F.sum("q")).first()[0] or 0) * ITEM_BITS
     segments = max(1, math.ceil(wanted / SEGMENT_BITS))
-    bits = 8 * max(8, math.ceil(wanted / segments / 8))
+    bits = _BLOCK * max(1, math.ceil(wanted / segments / _BLOCK))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Short keys and levels of many items at a time, by segment."""
@@ -319,10 +339,11 @@ def build_filter(words: DataFrame, pairs: DataFrame) -> Filter:
                     held, filled = segment, np.zeros(bits, bool)
                 short, q = np.frombuffer(short, np.uint32), np.frombuffer(q, np.uint8)
                 with np.errstate(over="ignore"):
+                    mixed = _mix(short.astype(np.uint64))
                     for least in range(1, int(q.max()) + 1):
-                        z, step = _item(short[q >= least], least)
-                        for k in range(1, PROBES + 1):
-                            filled[_place(z, step, k, bits)] = True
+                        block, z = _item(mixed[q >= least], least, bits)
+                        for k, salt in enumerate(_SALTS):
+                            filled[block * _BLOCK + 32 * k + ((z * salt) >> np.uint32(27))] = True
         if held >= 0:
             yield done(held, filled)
 
@@ -430,11 +451,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         with np.errstate(over="ignore"):
             word, back = np.unique(h, return_inverse=True)
             # a token's probability follows from its pair: computed once for each
-            pair, first_at, of_pair = np.unique(pair_keys(h, start), return_index=True, return_inverse=True)
+            pair, of_pair = np.unique(pair_keys(h, start), return_inverse=True)
             asked = np.concatenate([typed_key(word, "word"), typed_key(pair, "pair")])
         # the token before: the one to the left, for a text's first token an end
         left = np.concatenate([back[-1:], back[:-1]])
         left[start] = back[-1]
+        some_at = np.empty(len(pair), np.int64)  # a place of each pair: all its places have the same sides
+        some_at[of_pair] = np.arange(len(h))
         at = np.searchsorted(keys, h)
         at[at == len(keys)] = 0
         known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
@@ -450,7 +473,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             pa.array(np.add.reduceat(base, start)),
             pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(rare, pa.binary())),
         ]
-        return fields, asked, np.concatenate([left[first_at], back[first_at]]), of_pair, len(word)
+        return fields, asked, np.concatenate([left[some_at], back[some_at]]), of_pair, len(word)
 
     def sums(found: np.ndarray, sides: np.ndarray, of_pair: np.ndarray, n_words: int, lengths: np.ndarray) -> np.ndarray:
         """Scores of a chunk's documents from the counts of its words and pairs."""
@@ -481,8 +504,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         data = sent_filter.value
         for fields, asked, sides, of_pair, n_words in chunks(batches):
             with np.errstate(over="ignore"):
-                at = segment_of(asked, segments).astype(np.int64) * bits
-            found = VALUES[read_levels(data, bits, _short(asked), at)]
+                segment = segment_of(asked, segments)
+            found = VALUES[read_levels(data, bits, _short(asked), segment)]
             score = sums(found, sides, of_pair, n_words, fields[1].to_numpy())
             yield pa.RecordBatch.from_arrays([*fields, pa.array(score)], names=[*[n for n, _ in _COLUMNS], "score"])
 
@@ -519,9 +542,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             out: list[tuple[int, int, bytes]] = []
             for segment, number, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if segment != held:
-                    held, data = segment, np.zeros(bits // 8, np.uint8)
+                    held, data = segment, np.zeros(bits // 64, np.uint64)
                 if number < 0:
-                    data = np.frombuffer(blob, np.uint8)
+                    data = np.frombuffer(blob, np.uint64)
                 else:
                     out.append((number, segment, read_levels(data, bits, np.frombuffer(blob, np.uint32)).tobytes()))
             if out:
