@@ -143,6 +143,20 @@ def test_piece_cache_equals_the_library():
         assert got == tok.encode(text, add_special_tokens=False).ids, text
 
 
+def test_pieces_of_letters_and_the_older_cache_equal_the_library():
+    tok = bpe.load(BPE)
+    cache = bpe.PieceCache(tok, packing._ids_value, 40)
+    assert cache.model is not None
+    rng = np.random.default_rng(1)
+    letters = [*"aAzZeinrstßÀÖØöøÿĀŁƀƻǃɏªµº×÷ɐ", "the", "tion"]
+    words = ["".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(400)]
+    for _ in range(2000):
+        text = " ".join(rng.choice(words, 5))
+        got = np.frombuffer(b"".join(cache.values_of(text)), "<u4").tolist()
+        assert got == tok.encode(text, add_special_tokens=False).ids, text
+    assert len(cache) <= 21 and len(cache.older) <= 21  # half the limit each, and the piece that came last
+
+
 def _check_pieces(rows, docs):
     """Pieces cover each document's ids once, sequences are gapless and not too long."""
     tok = bpe.load(BPE)
@@ -315,6 +329,16 @@ def test_base_scores_are_exact_and_the_model_is_better(spark, texts):
     assert sum(r["score"] for r in held) > 1.02 * sum(r["base_score"] for r in held)
 
 
+def test_each_level_holds_a_whole_number(spark):
+    rows = spark.range(1, 5001).select("id", lm.level(F.col("id")).alias("q")).collect()
+    held = {}
+    for r in rows:
+        held.setdefault(r["q"], []).append(r["id"])
+    assert sorted(held) == list(range(1, len(held) + 1))
+    for q, counts in sorted(held.items())[:-1]:
+        assert math.isclose(lm.VALUES[q], math.sqrt(min(counts) * max(counts)))
+
+
 def test_filter_levels_are_never_too_low(spark):
     words = spark.range(1, 2001).select(F.xxhash64(F.col("id").cast("string")).alias("h"), F.col("id").alias("c"))
     pairs = spark.range(1, 2001).select(F.xxhash64("id").alias("pair"), (F.col("id") + 1).alias("c"))
