@@ -17,7 +17,8 @@ are written as their UTF-8 bytes.
 White space is escaped and, where no piece continues past the start of an escaped
 blank, such a start is a boundary that all paths share; so is every place between two
 characters that no piece holds in this order. The text is cut there, and the ids of
-the stretches, which repeat, come from a bounded cache in each worker.
+the stretches, which repeat, come from a bounded cache in each worker. A short stretch of a
+BPE model is searched at once: depth first, the longest piece first, for the same valid path.
 
 Defined cases: a NULL or empty text has no ids and is decoded to the empty text;
 repeated rows each give a row; an empty table gives no rows; other columns are
@@ -29,6 +30,9 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
+from operator import add
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -75,14 +79,32 @@ class PieceModel:
         # no piece goes on past the start of an escaped blank
         self.cuts = not any(ESCAPE in p.lstrip(ESCAPE) for p in self.id_of)
         self.unknown_score = min(self.score_of[i] for i in self.id_of.values()) - UNKNOWN_PENALTY
-        # BPE: pieces that their own characters' merges give, and the length of the longest
-        # of them that ends with a character
+        # BPE: pieces that their own characters' merges give; every start of one of them (-1: not
+        # such a piece itself) and the length of the longest that ends with a character
         self.usable = {t: i for t, i in self.id_of.items() if self.bpe and self.merged(t) == [t]}
+        self.starts = {t[:k]: -1 for t in self.usable for k in range(1, len(t))} | self.usable
+        self.length = [len(t) for t in self.text_of]
         self.reach: dict[str, int] = {}
         for t in self.usable:
             self.reach[t[-1]] = max(self.reach.get(t[-1], 0), len(t))
         self.joints = {t[k : k + 2] for t in self.id_of for k in range(len(t) - 1)}
         self.pairs = _Pairs(self)
+        self.stretch = re.compile(self._stretches())
+
+    def _stretches(self) -> str:
+        """A pattern of stretches, between which no piece lies: they begin at escaped blanks and
+        where the largest group of characters that pieces join begins or ends."""
+        group = {c: {c} for joint in self.joints for c in joint if c != ESCAPE}
+        for a, b in self.joints:
+            if ESCAPE not in (a, b) and group[a] is not group[b]:
+                less, more = sorted((group[a], group[b]), key=len)
+                more |= less
+                group.update(dict.fromkeys(less, more))
+        most = max(group.values(), key=len, default=set())
+        if len(most) < 2:
+            return f"{ESCAPE}*[^{ESCAPE}]+|{ESCAPE}+$"
+        chars = "".join(map(re.escape, sorted(most)))
+        return f"{ESCAPE}*[{chars}]+|{ESCAPE}*[^{ESCAPE}{chars}]+|{ESCAPE}+$"
 
     def merged(self, text: str) -> list[str]:
         """Merges of a short text's characters, best score first, leftmost of equals."""
@@ -222,38 +244,90 @@ class Stream:
         return self.ids
 
 
-_STRETCH = re.compile(f"{ESCAPE}*[^{ESCAPE}]+|{ESCAPE}+$")
+def valid_path(model: PieceModel, text: str) -> list[int] | None:
+    """The ids of the one valid path through a short text, or None if a character has no piece.
+
+    It takes the longest piece that may follow and turns back where none may: as each
+    prefix has one valid path, no boundary is reached twice.
+    """
+    start_of, pairs, n, length = model.starts.get, model.pairs, len(model.text_of), model.length
+    path: list[int] = []
+    left: list[list[int]] = []  # per piece of the path, the shorter ones not tried
+    at, before, end = 0, -1, len(text)
+    while at < end:
+        found = []
+        for to in range(at + 1, end + 1):
+            piece = start_of(text[at:to])
+            if piece is None:
+                break
+            if piece >= 0:
+                found.append(piece)
+        while True:
+            if found:
+                piece = found.pop()
+                if before < 0 or pairs[before * n + piece]:
+                    break
+            elif path:
+                at -= length[path.pop()]
+                found = left.pop()
+                before = path[-1] if path else -1
+            else:
+                return None
+        path.append(piece)
+        left.append(found)
+        at += length[piece]
+        before = piece
+    return path
 
 
 class Encoder:
-    """Encodes texts, with the ids of short stretches in a bounded cache."""
+    """Encodes texts, with the ids of short stretches in a bounded cache.
+
+    The cache has two halves: what is found in the older one moves to the newer, which
+    takes the older's place when full, so frequent stretches stay.
+    """
 
     def __init__(self, model: PieceModel, limit: int = CACHE_LIMIT):
         self.model, self.limit = model, limit
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def stretch(self, text: str) -> bytes:
         """The ids of a stretch: those of its parts between sure boundaries."""
-        joints, at, out = self.model.joints, 0, []
-        for k in range(1, len(text)):
-            if text[k - 1 : k + 1] not in joints:
-                out.append(self.part(text[at:k]))
-                at = k
-        out.append(self.part(text[at:]))
-        return self.keep(text, b"".join(out)) if at else out[0]
-
-    def part(self, text: str) -> bytes:
+        out = self.found(text)
+        if out is not None:
+            return out
+        joints = self.model.joints
+        cuts = [k for k, pair in enumerate(map(add, text, text[1:]), 1) if pair not in joints]
+        if not cuts:
+            return self.keep(text, self.search(text))
+        parts = [self.part(text[a:b]) for a, b in pairwise([0, *cuts, len(text)])]
+        return self.keep(text, b"".join(parts))
+
+    def found(self, text: str) -> bytes | None:
         out = self.cache.get(text)
         if out is None:
+            out = self.older.get(text)
+            if out is not None:
+                self.keep(text, out)
+        return out
+
+    def part(self, text: str) -> bytes:
+        out = self.found(text)
+        return self.keep(text, self.search(text)) if out is None else out
+
+    def search(self, text: str) -> bytes:
+        ids = valid_path(self.model, text) if self.model.bpe and len(text) <= MAX_CACHED_CHARS else None
+        if ids is None:
             stream = Stream(self.model)
             stream.feed(text)
-            out = self.keep(text, np.array(stream.finish(), dtype="<u4").tobytes())
-        return out
+            ids = stream.finish()
+        return pack(f"<{len(ids)}I", *ids)
 
     def keep(self, text: str, ids: bytes) -> bytes:
         if len(text) <= MAX_CACHED_CHARS:
-            if len(self.cache) >= self.limit:
-                self.cache.clear()
+            if 2 * len(self.cache) >= self.limit:
+                self.cache, self.older = {}, self.cache
             self.cache[text] = ids
         return ids
 
@@ -266,10 +340,11 @@ class Encoder:
             escaped = ESCAPE + escaped
         if not self.model.cuts:
             return self.stretch(escaped)
-        get, out = self.cache.get, []
-        for s in _STRETCH.findall(escaped):
-            ids = get(s)
-            out.append(self.stretch(s) if ids is None else ids)
+        stretches = self.model.stretch.findall(escaped)
+        out = list(map(self.cache.get, stretches))
+        for k, ids in enumerate(out):
+            if ids is None:
+                out[k] = self.stretch(stretches[k])
         return b"".join(out)
 
 

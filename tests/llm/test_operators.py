@@ -310,6 +310,40 @@ def test_streaming_search_commits_and_scores():
         assert math.isclose(got, best[-1])
 
 
+def test_short_parts_equal_the_streaming_search_and_frequent_ones_stay(monkeypatch):
+    import sentencepiece
+
+    model = pieces.PieceModel(PIECES)
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    searched = Counter()
+    path, feed = getattr(pieces, "valid_path", None), pieces.Stream.feed
+
+    def counted(m, text):
+        searched[text] += 1
+        return path(m, text)
+
+    def fed(self, chars):
+        searched[chars] += 1
+        feed(self, chars)
+
+    monkeypatch.setattr(pieces, "valid_path", counted, raising=False)
+    monkeypatch.setattr(pieces.Stream, "feed", fed)
+    rng = np.random.default_rng(5)
+    syllables = ["th", "er", "on", "ing", "ed", "ti", "wh", "ö", "sch", "日", "é", "9", "😀"]
+    encoder, often = pieces.Encoder(model, limit=200), "whereanding"
+    for _ in range(300):
+        words = ["".join(rng.choice(syllables, rng.integers(1, 7))) + rng.choice(["", ".", ",\n", "***"]) for _ in range(9)]
+        text = " ".join([*words, often, often + ".", f"({often}),"])
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == sp.encode(text), text
+    # a frequent word is searched once, with a blank before it and without, whatever follows it
+    assert {t: k for t, k in searched.items() if often in t} == {f"▁{often}": 1, often: 1}
+    assert len(encoder.cache) + len(encoder.older) <= 200
+    for text in ["▁thering", "schtion", "a" * 40, "▁" * 9 + "was", "erstpf"]:
+        stream = pieces.Stream(model)
+        stream.feed(text)
+        assert path(model, text) == stream.finish()
+
+
 # -- language model ------------------------------------------------------------------
 def test_base_scores_are_exact_and_the_model_is_better(spark, texts):
     got = {r["doc_id"]: r for r in queries.op5_lm_scores(spark, SF001).collect()}
