@@ -363,6 +363,39 @@ def test_base_scores_are_exact_and_the_model_is_better(spark, texts):
     assert sum(r["score"] for r in held) > 1.02 * sum(r["base_score"] for r in held)
 
 
+def test_levels_equal_single_probes_and_hashes_keep_no_words():
+    import sys
+
+    rng = np.random.default_rng(7)
+    segments, bits = 3, 4 * lm._BLOCK
+    data = rng.integers(0, 1 << 63, segments * bits // 64, dtype=np.uint64) * np.uint64(2)
+    data |= rng.integers(0, 1 << 63, len(data), dtype=np.uint64) << np.uint64(1)
+    data[: bits // 64] = ~np.uint64(0)  # every level is found in the first segment
+    short = rng.integers(0, 1 << 32, 400, dtype=np.uint64).astype(np.uint32)
+    segment = rng.integers(0, segments, len(short)).astype(np.int32)
+    flags = np.unpackbits(data.view(np.uint8), bitorder="little")
+
+    def single(key, at):
+        for q in range(1, lm.MOST_LEVELS + 1):
+            block, z = lm._item(lm._mix(np.array([key], np.uint64)), q, bits)
+            places = at * bits + block[0] * lm._BLOCK + 32 * np.arange(lm.PROBES) + ((z[0] * lm._SALTS) >> np.uint32(27))
+            if not flags[places].all():
+                return q - 1
+        return lm.MOST_LEVELS
+
+    with np.errstate(over="ignore"):
+        want = [single(*x) for x in zip(short.tolist(), segment.tolist(), strict=True)]
+    assert lm.read_levels(data, bits, short, segment).tolist() == want
+    assert {0, lm.MOST_LEVELS} < set(want)
+    for k in range(segments):
+        at = np.flatnonzero(segment == k)
+        assert lm.read_levels(data[k * bits // 64 : (k + 1) * bits // 64], bits, short[at]).tolist() == [want[i] for i in at]
+    word = b"seldom-%d" % rng.integers(1 << 40)
+    before = sys.getrefcount(word)
+    assert lm._hashed([word, word]).tolist()[0] == lm._hashed([word])[0]
+    assert sys.getrefcount(word) == before
+
+
 def test_each_level_holds_a_whole_number(spark):
     rows = spark.range(1, 5001).select("id", lm.level(F.col("id")).alias("q")).collect()
     held = {}
